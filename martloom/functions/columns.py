@@ -1,7 +1,10 @@
 """Column expressions shared by the marts. All are built-in Spark expressions.
 
 Casts are `try_cast`: a malformed value becomes NULL instead of failing the job under ANSI mode.
-Money is DECIMAL(18,2), so sums are exact and do not depend on the order rows arrive in.
+
+Money is a DOUBLE in tables and whole cents (BIGINT) inside every sum. Long sums stay in primitive
+hash-aggregate buffers, are exact, and do not depend on the order rows arrive in; dividing the result
+by 100 gives the double nearest to the true amount.
 """
 
 from __future__ import annotations
@@ -11,8 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-MONEY = "decimal(18,2)"
-
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -27,7 +28,28 @@ def as_int(c):
 
 
 def as_money(c):
-    return _col(c).try_cast(MONEY)
+    return _col(c).try_cast("double")
+
+
+def cents(c):
+    return F.rint(_col(c) * 100).try_cast("bigint")
+
+
+def from_cents(c):
+    return _col(c).cast("double") / 100.0
+
+
+def money_sum(c):
+    """Exact sum of an amount, as an aggregate."""
+    return from_cents(F.sum(cents(c)))
+
+
+def money_add(a, b):
+    return from_cents(cents(a) + cents(b))
+
+
+def money_diff(a, b):
+    return from_cents(cents(a) - cents(b))
 
 
 def as_instant(c):

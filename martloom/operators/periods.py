@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from martloom.functions import month_index, pct_change
+from martloom.functions import cents, from_cents, month_index, pct_change
 
 
 def with_period_change(df: DataFrame, month: str, value: str, outputs: dict[str, int]) -> DataFrame:
@@ -24,13 +24,13 @@ def with_period_change(df: DataFrame, month: str, value: str, outputs: dict[str,
 def with_rolling_sum(
     df: DataFrame, month: str, value: str, outputs: dict[str, int], calendar: bool = False
 ) -> DataFrame:
-    """Sum over the last `width` rows, or over the last `width` calendar months."""
+    """Sum of an amount over the last `width` rows, or over the last `width` calendar months."""
     order = Window.orderBy(month_index(month) if calendar else F.col(month))
 
     def frame(width: int):
         return order.rangeBetween(-(width - 1), 0) if calendar else order.rowsBetween(-(width - 1), 0)
 
-    return df.withColumns({name: F.sum(value).over(frame(width)) for name, width in outputs.items()})
+    return df.withColumns({name: from_cents(F.sum(cents(value)).over(frame(width))) for name, width in outputs.items()})
 
 
 def latest(df: DataFrame, instant: str) -> Column:

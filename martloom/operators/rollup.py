@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martloom.functions import money_sum
+
 
 def distinct_list(label: str, separator: str = ",") -> Column:
     """Sorted, separated list of the distinct values in a group."""
@@ -21,8 +23,8 @@ def heaviest(label: str, weight: str | Column, *tiebreak: Column) -> Column:
 
 
 def top_label(df: DataFrame, label: str, value: str, output: str) -> DataFrame:
-    """One row: the label with the largest total. NULL on empty input."""
-    totals = df.groupBy(label).agg(F.sum(value).alias("_total"))
+    """One row: the label with the largest total amount. NULL on empty input."""
+    totals = df.groupBy(label).agg(money_sum(value).alias("_total"))
     return totals.agg(heaviest(label, "_total").alias(output))
 
 

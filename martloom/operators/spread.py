@@ -9,23 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from martloom.functions import ratio
+from martloom.functions import cents, from_cents, ratio
 
 
-def histogram(
-    df: DataFrame, keys: list[str], value: str, means: dict[str, str] | None = None, rows: str | None = None
-) -> DataFrame:
-    """Counts per key and value, with sum and non-NULL count of each column to be averaged.
+def tallies(counts: list[str] = (), amounts: list[str] = ()) -> list[Column]:
+    """Row count, and sum and number of known values for each column that will be averaged."""
+    sums = [F.sum(c).alias(f"_sum_{c}") for c in counts]
+    sums += [F.sum(cents(c)).alias(f"_sum_{c}") for c in amounts]
+    known = [F.count(c).alias(f"_cnt_{c}") for c in (*counts, *amounts)]
+    return [F.count(F.lit(1)).alias("_n"), *sums, *known]
 
-    `rows` names a count column when the input is itself a histogram.
-    """
-    carried = []
-    for output, column in (means or {}).items():
-        total = f"_sum_{output}" if rows else column
-        number = F.sum(f"_cnt_{output}") if rows else F.count(column)
-        carried += [F.sum(total).alias(f"_sum_{output}"), number.alias(f"_cnt_{output}")]
-    count = F.sum(rows) if rows else F.count(F.lit(1))
-    return df.groupBy(*keys, value).agg(count.alias("_n"), *carried)
+
+def histogram(df: DataFrame, keys: list[str], value: str, counts: list[str] = (), amounts: list[str] = ()) -> DataFrame:
+    return df.groupBy(*keys, value).agg(*tallies(counts, amounts))
 
 
 def with_median_marker(hist: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -47,8 +43,12 @@ def mean_value(value: str) -> Column:
     return ratio(F.sum(F.col(value).cast("bigint") * F.col("_n")), F.sum("_n"))
 
 
-def mean_carried(output: str) -> Column:
-    return ratio(F.sum(f"_sum_{output}"), F.sum(f"_cnt_{output}")).alias(output)
+def mean_count(column: str) -> Column:
+    return ratio(F.sum(f"_sum_{column}"), F.sum(f"_cnt_{column}"))
+
+
+def mean_amount(column: str) -> Column:
+    return ratio(from_cents(F.sum(f"_sum_{column}")), F.sum(f"_cnt_{column}"))
 
 
 def rate(condition: Column) -> Column:

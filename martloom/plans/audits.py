@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martloom.functions import ratio
+from martloom.functions import money_sum, ratio
 from martloom.operators.lookup import grain, orphans, share_of
 from martloom.plans.conform import UNKNOWN_CATEGORY
 from martloom.plans.rules import RECONCILIATION_TOLERANCE
@@ -16,7 +17,7 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _stack(
         [
             df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
@@ -42,8 +43,8 @@ def payment_profile(raw_payments: DataFrame) -> DataFrame:
     return raw_payments.agg(
         F.count_if(value < 0).alias("negative_payments"),
         F.count_if(value.isNull()).alias("null_payments"),
-        F.min(value).cast("double").alias("min_value"),
-        F.max(value).cast("double").alias("max_value"),
+        F.min(value).alias("min_value"),
+        F.max(value).alias("max_value"),
     )
 
 
@@ -65,7 +66,7 @@ def payment_mix(payments_per_order: DataFrame) -> DataFrame:
         payments_per_order.groupBy("primary_payment_type")
         .agg(
             F.count(F.lit(1)).alias("orders"),
-            F.round(F.sum("total_payment_value"), 2).cast("double").alias("total_value"),
+            money_sum("total_payment_value").alias("total_value"),
         )
         .orderBy(F.desc("orders"), "primary_payment_type")
     )
@@ -74,13 +75,13 @@ def payment_mix(payments_per_order: DataFrame) -> DataFrame:
 def reconciliation_summary(orders: DataFrame) -> DataFrame:
     """Coverage of the order fact and how closely payments match revenue."""
     gap = F.abs("payment_reconciliation_delta")
-    near = gap.cast("double") / F.greatest(F.col("revenue_total").cast("double"), F.lit(1.0))
+    near = gap / F.greatest(F.col("revenue_total"), F.lit(1.0))
     return orders.agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum("is_revenue_recognised").alias("recognised_orders"),
-        F.sum("revenue_total").cast("double").alias("revenue_total"),
-        F.sum("total_payment_value").cast("double").alias("payments_total"),
-        F.round(ratio(F.sum(gap), F.count(gap)), 2).alias("avg_abs_recon_delta"),
+        money_sum("revenue_total").alias("revenue_total"),
+        money_sum("total_payment_value").alias("payments_total"),
+        F.round(ratio(money_sum(gap), F.count(gap)), 2).alias("avg_abs_recon_delta"),
         F.round(share_of(near < RECONCILIATION_TOLERANCE) * 100, 2).alias("pct_reconciled_within_5pct"),
     )
 

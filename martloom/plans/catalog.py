@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.operators.lookup import grain  # noqa: F401  (re-exported for notebooks)
 from martloom.operators.quality import DROP, FAIL, WARN, as_drop_rules, enforce, violation_report
 from martloom.operators.sampling import sample_by_key, sample_rows
 from martloom.plans import audits, conform, delivery, revenue, segments
@@ -91,9 +90,8 @@ def _dropped_customers(m: RetailModel) -> DataFrame:
 
 def _count_audit(m: RetailModel) -> DataFrame:
     """Delivered rows against the rows the source rules let through."""
-    raw = m.raw.items()
-    landed = {name: enforce(df, as_drop_rules(RAW_RULES[name])) for name, df in raw.items()}
-    return audits.row_count_audit(audits.row_counts(landed), audits.row_counts(raw))
+    landed = {name: enforce(df, as_drop_rules(RAW_RULES[name])) for name, df in m.raw.items()}
+    return audits.row_count_audit(audits.row_counts(landed), audits.row_counts(m.raw))
 
 
 def _grains(m: RetailModel) -> DataFrame:
@@ -131,10 +129,9 @@ def _invariants(m: RetailModel) -> DataFrame:
 def _landed_csv(spark: SparkSession, m: RetailModel, *names: str) -> list[FileSource]:
     """The source tables written out as CSV files, and their configuration."""
     folder = scratch_dir(spark, "csv")
-    tables = m.raw.items()
-    chosen = [s for s in sources_from_config(default_config(folder)) if s.table_name in (names or tables)]
+    chosen = [s for s in sources_from_config(default_config(folder)) if s.table_name in (names or m.raw)]
     for source in chosen:
-        write_csv(tables[source.table_name], source.path, source)
+        write_csv(m.raw[source.table_name], source.path, source)
     return chosen
 
 
@@ -303,7 +300,7 @@ QUERIES: dict[str, Query] = {
     "purchase_range": lambda m: segments.purchase_range(m.last_12m_orders),
     "null_state_orders": lambda m: audits.null_state_orders(m.orders_revenue),
     # audits
-    "row_counts": lambda m: audits.row_counts(m.raw.items()),
+    "row_counts": lambda m: audits.row_counts(m.raw),
     "mart_row_counts": lambda m: audits.row_counts({name: getattr(m, name) for name in _MART_TABLES}),
     "row_count_audit": _count_audit,
     "payment_profile": lambda m: audits.payment_profile(m.raw.raw_order_payments),

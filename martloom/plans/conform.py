@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.functions import (
     absent,
@@ -16,6 +16,9 @@ from martloom.functions import (
     day_delta,
     first_match,
     flag,
+    money_add,
+    money_diff,
+    money_sum,
     month_start,
 )
 from martloom.operators.lookup import enrich, translate
@@ -57,7 +60,7 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     """One row per order. The primary type is that of the single largest payment; ties go to the
     lower sequence number, then the larger type name."""
     return payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("total_payment_value"),
+        money_sum("payment_value").alias("total_payment_value"),
         F.count(F.lit(1)).alias("n_payments"),
         F.max("payment_installments").alias("installments_max"),
         distinct_list("payment_type").alias("payment_type_mix"),
@@ -100,7 +103,7 @@ def typed_items(raw_items: DataFrame) -> DataFrame:
 def priced_items(raw_items: DataFrame) -> DataFrame:
     """Items whose price and freight are known and not negative, with their sum."""
     items = typed_items(raw_items).filter("price >= 0 AND freight_value >= 0")
-    return items.withColumn("item_total_revenue", as_money(F.col("price") + F.col("freight_value")))
+    return items.withColumn("item_total_revenue", money_add("price", "freight_value"))
 
 
 def order_items_revenue(raw_items: DataFrame, catalog: DataFrame, broadcast_catalog: bool = False) -> DataFrame:
@@ -123,23 +126,23 @@ def items_per_order(items: DataFrame) -> DataFrame:
     join is not needed."""
     return items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_items"),
-        F.sum("price").alias("gross_revenue"),
-        F.sum("freight_value").alias("freight_total"),
-        F.sum("item_total_revenue").alias("revenue_total"),
+        money_sum("price").alias("gross_revenue"),
+        money_sum("freight_value").alias("freight_total"),
+        money_sum("item_total_revenue").alias("revenue_total"),
     )
 
 
 def category_per_order(items: DataFrame) -> DataFrame:
     """Item revenue per order and category: a large order shrinks to one row per category it holds."""
     return items.groupBy("order_id", "product_category_en").agg(
-        F.sum("item_total_revenue").alias("item_total_revenue")
+        money_sum("item_total_revenue").alias("item_total_revenue")
     )
 
 
 def order_totals(raw_items: DataFrame) -> DataFrame:
     """Sum of price and freight per order over all items, unfiltered."""
-    total = as_money("price") + as_money("freight_value")
-    return raw_items.groupBy(as_text("order_id").alias("order_id")).agg(F.sum(total).alias("total_price"))
+    total = money_add(as_money("price"), as_money("freight_value"))
+    return raw_items.groupBy(as_text("order_id").alias("order_id")).agg(money_sum(total).alias("total_price"))
 
 
 # --- orders -------------------------------------------------------------------------------------
@@ -174,18 +177,31 @@ def _revenue_orders(raw_orders: DataFrame, customer_geo: DataFrame | None) -> Da
     return enrich(orders, customer_geo, ["customer_id"], list(place))
 
 
-def _with_revenue_measures(orders: DataFrame, revenue: str) -> DataFrame:
-    paid = F.coalesce("total_payment_value", F.lit(0).cast("decimal(18,2)"))
+def _recognised_flag() -> Column:
+    """Only canceled and unavailable orders do not count; an unknown status does."""
     void = F.coalesce(F.col("order_status").isin(*UNRECOGNISED_STATUSES), F.lit(False))
+    return flag(~void)
+
+
+def _with_revenue_measures(orders: DataFrame, revenue: str) -> DataFrame:
+    paid = F.coalesce("total_payment_value", F.lit(0.0))
     return with_purchase_calendar(orders).withColumns(
         {
             "order_purchase_year": F.year("order_purchase_ts"),
-            "payment_reconciliation_delta": F.col(revenue) - paid,
-            "is_revenue_recognised": flag(~void),
+            "payment_reconciliation_delta": money_diff(revenue, paid),
+            "is_revenue_recognised": _recognised_flag(),
         }
     )
 
 
+def order_months(raw_orders: DataFrame) -> DataFrame:
+    """Order, purchase month and revenue flag: all that item-level marts need of the order fact."""
+    orders = standard_orders(raw_orders, ("order_purchase_ts",)).filter("order_id IS NOT NULL")
+    return with_purchase_calendar(orders).select(
+        "order_id", "order_purchase_month", _recognised_flag().alias("is_revenue_recognised")
+    )
+
+
 def orders_revenue(
     raw_orders: DataFrame,
     items: DataFrame,
@@ -332,32 +348,21 @@ def delivery_orders(raw_orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def order_seller_rollup(raw_items: DataFrame, sellers: DataFrame) -> DataFrame:
-    """One row per order and seller.
-
-    Counting per product first keeps the distinct product count a plain count; both steps combine
-    map-side before they shuffle.
-    """
+    """One row per order and seller. A reader that needs no product count gets a plain aggregate:
+    Catalyst drops the distinct count and its extra shuffle."""
     keys = [as_text("order_id").alias("order_id"), as_text("seller_id").alias("seller_id")]
-    per_product = (
-        raw_items.groupBy(*keys, as_text("product_id").alias("product_id"))
+    rollup = (
+        raw_items.groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.sum(as_money("price")).alias("_price"),
-            F.sum(as_money("freight_value")).alias("_freight"),
-            F.max(as_instant("shipping_limit_date")).alias("_limit"),
+            F.count(F.lit(1)).alias("item_count"),
+            F.count_distinct(as_text("product_id")).alias("distinct_product_count"),
+            money_sum(as_money("price")).alias("order_seller_item_value"),
+            money_sum(as_money("freight_value")).alias("order_seller_freight_value"),
+            F.max(as_instant("shipping_limit_date")).alias("max_shipping_limit_ts"),
         )
         .filter("order_id IS NOT NULL AND seller_id IS NOT NULL")
     )
-    rollup = per_product.groupBy("order_id", "seller_id").agg(
-        F.sum("_n").alias("item_count"),
-        F.count("product_id").alias("distinct_product_count"),
-        F.sum("_price").alias("order_seller_item_value"),
-        F.sum("_freight").alias("order_seller_freight_value"),
-        F.max("_limit").alias("max_shipping_limit_ts"),
-    )
-    return enrich(rollup, sellers, ["seller_id"], [c for c in sellers.columns if c != "seller_id"]).select(
-        "order_id", *[c for c in rollup.columns if c != "order_id"], *[c for c in sellers.columns if c != "seller_id"]
-    )
+    return enrich(rollup, sellers, ["seller_id"], [c for c in sellers.columns if c != "seller_id"])
 
 
 def delivery_order_items(deliveries: DataFrame, rollup: DataFrame) -> DataFrame:

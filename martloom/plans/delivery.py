@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from martloom.operators.ranking import with_dense_rank
 from martloom.operators.spread import (
     histogram,
-    mean_carried,
+    mean_amount,
+    mean_count,
     mean_value,
     median,
     rate,
     rows_total,
+    tallies,
     with_median_marker,
 )
 
@@ -56,7 +58,7 @@ def _order_measures() -> list[Column]:
     return [
         rows_total().alias("total_delivered_orders"),
         *_delay(),
-        *[mean_carried(name) for name in DURATIONS],
+        *[mean_count(column).alias(name) for name, column in DURATIONS.items()],
         *_lateness(),
         *_punctuality(),
     ]
@@ -64,7 +66,7 @@ def _order_measures() -> list[Column]:
 
 def delivery_state_month(deliveries: DataFrame) -> DataFrame:
     keys = [MONTH, "customer_state"]
-    hist = histogram(_measured(deliveries, "customer_state"), keys, DELTA, DURATIONS)
+    hist = histogram(_measured(deliveries, "customer_state"), keys, DELTA, list(DURATIONS.values()))
     summary = _summarize(hist, keys, *_order_measures())
     return with_dense_rank(summary, MONTH, "avg_delivery_delta_days", "state_delay_rank_in_month")
 
@@ -80,58 +82,67 @@ def delivery_hotspots(deliveries: DataFrame) -> DataFrame:
 
 def delivery_exec_summary(deliveries: DataFrame, as_of: str | None = None) -> DataFrame:
     """One row of delivery figures, also on empty input."""
-    hist = histogram(_measured(deliveries), [], DELTA, DURATIONS)
+    hist = histogram(_measured(deliveries), [], DELTA, list(DURATIONS.values()))
     stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
     return _summarize(hist, [], *_order_measures()).withColumn("kpi_generated_ts", stamp)
 
 
-def _seller_side(order_items: DataFrame, keys: list[str], means: dict[str, str], *measures: Column) -> DataFrame:
-    """Marts at order and seller grain.
+def _seller_side(
+    order_items: DataFrame, keys: list[str], counts: list[str], amounts: list[str], *measures: Column
+) -> DataFrame:
+    """Marts at order and seller grain, in one pass over the rows.
 
-    The rows are first combined per group, seller and delay. From that small table come the delay
-    measures and the number of sellers; the number of orders needs its own grouping by order. Two
-    plain aggregates shuffle less than one with two distinct counts, which copies every row thrice.
+    One grouping-sets aggregate yields both the delay histogram and the list of sellers per group.
+    Orders are counted by marking one row per order and seller state; the rows arrive partitioned by
+    order, so the mark needs no shuffle, and an order has at most one row per seller.
     """
-    known = [k for k in keys if k != MONTH]
-    base = _measured(order_items, *known)
-    fine = histogram(base, [*keys, "seller_id"], DELTA, means)
-    delays = _summarize(histogram(fine, keys, DELTA, means, rows="_n"), keys, *measures)
-    sellers = fine.select(*keys, "seller_id").distinct().groupBy(*keys).agg(
-        F.count("seller_id").alias("active_sellers")
+    base = _measured(order_items, *[k for k in keys if k != MONTH])
+    once = Window.partitionBy("order_id", "seller_state").orderBy("seller_id")
+    marked = base.withColumn("_first", F.when(F.row_number().over(once) == 1, 1).otherwise(0))
+    sets = [[*keys, DELTA], [*keys, "seller_id"]]
+    fine = marked.groupingSets(sets, *keys, DELTA, "seller_id").agg(
+        F.grouping("seller_id").alias("_in_hist"), F.sum("_first").alias("_orders"), *tallies(counts, amounts)
+    )
+    sums = [c for c in fine.columns if c.startswith(("_n", "_sum", "_cnt", "_orders"))]
+    in_hist = F.col("_in_hist") == 1
+    hist = fine.groupBy(*keys, DELTA).agg(
+        *[F.sum(F.when(in_hist, F.col(c))).alias(c) for c in sums],
+        F.count(F.when(~in_hist, F.col("seller_id"))).alias("_sellers"),
+    )
+    return _summarize(
+        hist,
+        keys,
+        F.sum("_orders").alias("total_orders"),
+        F.sum("_sellers").alias("active_sellers"),
+        *measures,
     )
-    orders = base.select(*keys, "order_id").distinct().groupBy(*keys).agg(F.count("order_id").alias("total_orders"))
-    return _by_keys(_by_keys(orders, sellers, keys), delays, keys)
-
-
-def _by_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Join two aggregates of the same groups; a missing month is a group of its own."""
-    renamed = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return left.join(renamed, same, "inner").drop(*[f"_{k}" for k in keys])
 
 
 def delivery_seller_state_month(order_items: DataFrame) -> DataFrame:
-    means = {
-        "avg_order_seller_item_value": "order_seller_item_value",
-        "avg_order_seller_freight_value": "order_seller_freight_value",
-    }
+    value, freight = "order_seller_item_value", "order_seller_freight_value"
     summary = _seller_side(
-        order_items, [MONTH, "seller_state"], means, *_delay(), *[mean_carried(m) for m in means], *_lateness()
+        order_items,
+        [MONTH, "seller_state"],
+        [],
+        [value, freight],
+        *_delay(),
+        mean_amount(value).alias("avg_order_seller_item_value"),
+        mean_amount(freight).alias("avg_order_seller_freight_value"),
+        *_lateness(),
     )
     return with_dense_rank(summary, MONTH, "avg_delivery_delta_days", "seller_state_delay_rank_in_month")
 
 
 def delivery_corridor_month(order_items: DataFrame) -> DataFrame:
-    means = {
-        "avg_purchase_to_delivery_days": "purchase_to_delivery_days",
-        "avg_freight_value": "order_seller_freight_value",
-    }
+    duration, freight = "purchase_to_delivery_days", "order_seller_freight_value"
     summary = _seller_side(
         order_items,
         [MONTH, "seller_state", "customer_state"],
-        means,
+        [duration],
+        [freight],
         *_delay(),
-        *[mean_carried(m) for m in means],
+        mean_count(duration).alias("avg_purchase_to_delivery_days"),
+        mean_amount(freight).alias("avg_freight_value"),
         *_lateness(),
     )
     return with_dense_rank(summary, MONTH, "avg_delivery_delta_days", "corridor_delay_rank_in_month")

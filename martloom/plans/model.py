@@ -73,6 +73,15 @@ class RetailModel:
         )
         return self._checked("orders_revenue", fact)
 
+    @cached_property
+    def order_fact(self) -> DataFrame:
+        """The order fact without customer places, for marts that do not group by them."""
+        return conform.orders_revenue(self.raw.raw_orders, self.items_per_order, self.payments_order_agg, None)
+
+    @cached_property
+    def order_months(self) -> DataFrame:
+        return conform.order_months(self.raw.raw_orders)
+
     @cached_property
     def orders_revenue_item_grain(self) -> DataFrame:
         return conform.orders_revenue_item_grain(
@@ -138,11 +147,11 @@ class RetailModel:
 
     @cached_property
     def revenue_monthly(self) -> DataFrame:
-        return revenue.revenue_monthly(self.orders_revenue)
+        return revenue.revenue_monthly(self.order_fact)
 
     @cached_property
     def revenue_by_category_month(self) -> DataFrame:
-        return revenue.revenue_by_category_month(self.orders_revenue, self.category_per_order)
+        return revenue.revenue_by_category_month(self.order_months, self.category_per_order)
 
     @cached_property
     def revenue_by_state_month(self) -> DataFrame:
@@ -150,11 +159,11 @@ class RetailModel:
 
     @cached_property
     def revenue_by_payment_type_month(self) -> DataFrame:
-        return revenue.revenue_by_payment_type_month(self.orders_revenue)
+        return revenue.revenue_by_payment_type_month(self.order_fact)
 
     @cached_property
     def revenue_exec_summary(self) -> DataFrame:
-        return revenue.revenue_exec_summary(self.orders_revenue, self.category_per_order)
+        return revenue.revenue_exec_summary(self.orders_revenue, self.order_months, self.category_per_order)
 
     @cached_property
     def delivery_state_month(self) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from martloom.functions import pct_change, ratio
+from martloom.functions import money_sum, pct_change, ratio
 from martloom.operators.periods import with_period_change, with_rolling_sum
 from martloom.operators.ranking import with_dense_rank, with_share
 from martloom.operators.rollup import heaviest, top_label, with_one_row_values
@@ -16,44 +16,35 @@ def recognised(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("is_revenue_recognised") == 1)
 
 
-def _double(name: str) -> Column:
-    return F.col(name).cast("double").alias(name)
-
-
 def revenue_monthly(orders: DataFrame) -> DataFrame:
     """Orders, revenue and growth per month. Orders have one row each, so a count is a distinct count."""
     monthly = (
         recognised(orders)
         .filter(F.col(MONTH).isNotNull())
         .groupBy(MONTH)
-        .agg(F.count("order_id").alias("total_orders"), F.sum("revenue_total").alias("total_revenue"))
+        .agg(F.count("order_id").alias("total_orders"), money_sum("revenue_total").alias("total_revenue"))
         .withColumn("aov", ratio("total_revenue", "total_orders"))
     )
     monthly = with_period_change(monthly, MONTH, "total_revenue", {"revenue_mom_pct": 1, "revenue_yoy_pct": 12})
-    monthly = with_rolling_sum(
-        monthly, MONTH, "total_revenue", {"revenue_rolling_3m": 3, "revenue_rolling_6m": 6}
-    )
-    return monthly.withColumns(
-        {c: F.col(c).cast("double") for c in ("total_revenue", "revenue_rolling_3m", "revenue_rolling_6m")}
-    )
+    return with_rolling_sum(monthly, MONTH, "total_revenue", {"revenue_rolling_3m": 3, "revenue_rolling_6m": 6})
 
 
-def category_month_totals(orders: DataFrame, category_orders: DataFrame) -> DataFrame:
+def category_month_totals(months: DataFrame, category_orders: DataFrame) -> DataFrame:
     """Totals per month and category from items already rolled up per order and category, so that
-    each input row is one order of that category."""
-    months = recognised(orders).select("order_id", MONTH)
+    each input row is one order of that category. `months` is the order fact or `order_months`: an
+    order without items has nothing to join, so both give the same result."""
+    dated = recognised(months).select("order_id", MONTH)
     return (
-        category_orders.join(months, on="order_id", how="inner")
+        category_orders.join(dated, on="order_id", how="inner")
         .groupBy(MONTH, "product_category_en")
-        .agg(F.count("order_id").alias("total_orders"), F.sum("item_total_revenue").alias("total_revenue"))
+        .agg(F.count("order_id").alias("total_orders"), money_sum("item_total_revenue").alias("total_revenue"))
     )
 
 
-def revenue_by_category_month(orders: DataFrame, category_orders: DataFrame) -> DataFrame:
-    totals = category_month_totals(orders, category_orders)
+def revenue_by_category_month(months: DataFrame, category_orders: DataFrame) -> DataFrame:
+    totals = category_month_totals(months, category_orders)
     shared = with_share(totals, MONTH, "total_revenue", "revenue_share_of_month")
-    ranked = with_dense_rank(shared, MONTH, "total_revenue", "category_rank_in_month")
-    return ranked.withColumn("total_revenue", _double("total_revenue"))
+    return with_dense_rank(shared, MONTH, "total_revenue", "category_rank_in_month")
 
 
 def revenue_by_state_month(orders: DataFrame) -> DataFrame:
@@ -62,20 +53,19 @@ def revenue_by_state_month(orders: DataFrame) -> DataFrame:
         recognised(orders)
         .filter(F.col("customer_state").isNotNull())
         .groupBy(MONTH, "customer_state", "customer_unique_id")
-        .agg(F.count("order_id").alias("_orders"), F.sum("revenue_total").alias("_revenue"))
+        .agg(F.count("order_id").alias("_orders"), money_sum("revenue_total").alias("_revenue"))
     )
     totals = (
         per_customer.groupBy(MONTH, "customer_state")
         .agg(
             F.sum("_orders").alias("total_orders"),
             F.count("customer_unique_id").alias("total_customers"),
-            F.sum("_revenue").alias("total_revenue"),
+            money_sum("_revenue").alias("total_revenue"),
         )
         .withColumn("aov", ratio("total_revenue", "total_orders"))
     )
     shared = with_share(totals, MONTH, "total_revenue", "revenue_share_of_month")
-    ranked = with_dense_rank(shared, MONTH, "total_revenue", "state_rank_in_month")
-    return ranked.withColumn("total_revenue", _double("total_revenue"))
+    return with_dense_rank(shared, MONTH, "total_revenue", "state_rank_in_month")
 
 
 def revenue_by_payment_type_month(orders: DataFrame) -> DataFrame:
@@ -85,12 +75,11 @@ def revenue_by_payment_type_month(orders: DataFrame) -> DataFrame:
         .groupBy(MONTH, "primary_payment_type")
         .agg(
             F.count("order_id").alias("total_orders"),
-            F.sum("revenue_total").alias("total_revenue"),
+            money_sum("revenue_total").alias("total_revenue"),
             F.avg("installments_max").alias("avg_installments"),
         )
     )
-    shared = with_share(totals, MONTH, "total_revenue", "share_of_month_revenue")
-    return shared.withColumn("total_revenue", _double("total_revenue"))
+    return with_share(totals, MONTH, "total_revenue", "share_of_month_revenue")
 
 
 def _daily(orders: DataFrame) -> DataFrame:
@@ -99,49 +88,63 @@ def _daily(orders: DataFrame) -> DataFrame:
     return (
         recognised(orders)
         .groupBy("order_purchase_date", "customer_state", "primary_payment_type")
-        .agg(F.count("order_id").alias("orders"), F.sum("revenue_total").alias("revenue"))
+        .agg(F.count("order_id").alias("orders"), money_sum("revenue_total").alias("revenue"))
     )
 
 
-def _period_totals(daily: DataFrame) -> DataFrame:
-    """One row of totals, with the last 365 days and the 365 before them measured from the newest day."""
-    by_day = daily.groupBy("order_purchase_date").agg(
-        F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue")
+def _order_figures(daily: DataFrame) -> DataFrame:
+    """One row of totals, periods and top labels.
+
+    The small daily table is regrouped by day, by state and by payment type at once. Day rows give
+    the totals, with the last 365 days and the 365 before them measured from the newest day.
+    """
+    axes = ["order_purchase_date", "customer_state", "primary_payment_type"]
+    by_axis = daily.groupingSets([[a] for a in axes], *axes).agg(
+        *[(F.grouping(a) == 0).alias(f"by_{a}") for a in axes],
+        F.sum("orders").alias("orders"),
+        money_sum("revenue").alias("revenue"),
     )
-    everything = Window.partitionBy()
-    age = F.datediff(F.max("order_purchase_date").over(everything), F.col("order_purchase_date"))
-    aged = by_day.withColumn("age", age)
+    newest = F.max("order_purchase_date").over(Window.partitionBy())
+    dated = by_axis.withColumn("age", F.datediff(newest, F.col("order_purchase_date")))
+    is_day = F.col("by_order_purchase_date")
 
     def within(low: int, high: int) -> Column:
-        inside = (F.col("age") >= low) & (F.col("age") < high)
-        return F.coalesce(F.sum(F.when(inside, F.col("revenue"))).cast("double"), F.lit(0.0))
+        inside = is_day & (F.col("age") >= low) & (F.col("age") < high)
+        return F.coalesce(money_sum(F.when(inside, F.col("revenue"))), F.lit(0.0))
+
+    def top(axis: str) -> Column:
+        known = F.col(f"by_{axis}") & F.col(axis).isNotNull()
+        return F.max_by(axis, F.when(known, F.struct("revenue", axis)))
 
-    return aged.agg(
-        F.coalesce(F.sum("orders"), F.lit(0)).alias("total_orders"),
-        F.sum("revenue").cast("double").alias("total_revenue"),
+    return dated.agg(
+        F.coalesce(F.sum(F.when(is_day, F.col("orders"))), F.lit(0)).alias("total_orders"),
+        money_sum(F.when(is_day, F.col("revenue"))).alias("total_revenue"),
         within(0, 365).alias("last_12m_revenue"),
         within(365, 730).alias("prior_12m_revenue"),
-    ).withColumns(
-        {
-            "aov": ratio("total_revenue", "total_orders"),
-            "yoy_growth_pct": pct_change("last_12m_revenue", "prior_12m_revenue"),
-        }
+        top("customer_state").alias("top_customer_state"),
+        top("primary_payment_type").alias("top_payment_type"),
     )
 
 
-def revenue_exec_summary(orders: DataFrame, category_orders: DataFrame, as_of: str | None = None) -> DataFrame:
+def revenue_exec_summary(
+    orders: DataFrame, months: DataFrame, category_orders: DataFrame, as_of: str | None = None
+) -> DataFrame:
     """One row of headline figures, also on empty input. `as_of` replaces the current time."""
-    daily = _daily(orders)
     stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
-    summary = with_one_row_values(
-        _period_totals(daily),
-        top_label(category_month_totals(orders, category_orders), "product_category_en", "total_revenue", "top_category"),
-        top_label(daily.filter("customer_state IS NOT NULL"), "customer_state", "revenue", "top_customer_state"),
-        top_label(
-            daily.filter("primary_payment_type IS NOT NULL"), "primary_payment_type", "revenue", "top_payment_type"
-        ),
+    categories = category_month_totals(months, category_orders)
+    top_category = top_label(categories, "product_category_en", "total_revenue", "top_category")
+    return with_one_row_values(_order_figures(_daily(orders)), top_category).select(
+        "total_orders",
+        "total_revenue",
+        "last_12m_revenue",
+        "prior_12m_revenue",
+        ratio("total_revenue", "total_orders").alias("aov"),
+        pct_change("last_12m_revenue", "prior_12m_revenue").alias("yoy_growth_pct"),
+        "top_category",
+        "top_customer_state",
+        "top_payment_type",
+        stamp.alias("kpi_generated_ts"),
     )
-    return summary.withColumn("kpi_generated_ts", stamp)
 
 
 def peak_month(monthly: DataFrame) -> DataFrame:
@@ -159,7 +162,7 @@ def top_categories(by_category: DataFrame, k: int = 10) -> DataFrame:
     return (
         by_category.groupBy("product_category_en")
         .agg(
-            F.round(F.sum("total_revenue"), 2).alias("total_revenue"),
+            money_sum("total_revenue").alias("total_revenue"),
             F.sum("total_orders").alias("order_category_pairs"),
         )
         .orderBy(F.desc("total_revenue"), "product_category_en")
@@ -171,7 +174,7 @@ def state_totals(by_state: DataFrame) -> DataFrame:
     return (
         by_state.groupBy("customer_state")
         .agg(
-            F.round(F.sum("total_revenue"), 2).alias("total_revenue"),
+            money_sum("total_revenue").alias("total_revenue"),
             F.sum("total_orders").alias("total_orders"),
             F.round(F.avg("aov"), 2).alias("avg_aov"),
         )
@@ -183,7 +186,7 @@ def payment_totals(by_payment: DataFrame) -> DataFrame:
     return (
         by_payment.groupBy("primary_payment_type")
         .agg(
-            F.round(F.sum("total_revenue"), 2).alias("total_revenue"),
+            money_sum("total_revenue").alias("total_revenue"),
             F.sum("total_orders").alias("total_orders"),
             F.round(F.avg("avg_installments"), 2).alias("avg_installments"),
             F.round(F.avg("share_of_month_revenue") * 100, 2).alias("avg_share_of_month_pct"),

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martloom.functions import as_instant, as_text, clean_lower, first_match
+from martloom.functions import as_instant, as_text, clean_lower, first_match, money_sum
 from martloom.operators.lookup import enrich
 from martloom.operators.periods import trailing_months
 from martloom.operators.ranking import with_percent_rank
 from martloom.operators.rollup import heaviest
 from martloom.plans.conform import UNRECOGNISED_STATUSES, order_totals
+from martloom.sources.ingest import stored
 
 # Cut points, bounds and names of the segments and personas.
 VALUE_CUTS = (0.85, 0.40)
@@ -57,7 +58,9 @@ def last_12m_orders(raw_orders: DataFrame, raw_items: DataFrame, raw_customers:
 
 
 def _with_value_segment(customers: DataFrame, cuts: tuple[float, float]) -> DataFrame:
-    ranked = with_percent_rank(customers, "total_price_unique_cust", "spend_percentile")
+    """The percent rank reads its input twice; one stored row per customer saves the second pass
+    over orders and items."""
+    ranked = with_percent_rank(stored(customers, "customers"), "total_price_unique_cust", "spend_percentile")
     return ranked.withColumns(
         {
             "spend_percentile_100": F.col("spend_percentile") * 100,
@@ -68,7 +71,7 @@ def _with_value_segment(customers: DataFrame, cuts: tuple[float, float]) -> Data
 
 def customer_value(recent: DataFrame, cuts: tuple[float, float] = VALUE_CUTS) -> DataFrame:
     """Spend, its percent rank and the value segment per customer."""
-    spend = recent.groupBy("customer_unique_id").agg(F.sum("total_price").alias("total_price_unique_cust"))
+    spend = recent.groupBy("customer_unique_id").agg(money_sum("total_price").alias("total_price_unique_cust"))
     return _with_value_segment(spend, cuts)
 
 
@@ -105,7 +108,7 @@ def customer_segmentation(
     customers still take part in the percent rank as one group, and leave afterwards.
     """
     customers = recent.groupBy("customer_unique_id").agg(
-        F.sum("total_price").alias("total_price_unique_cust"), F.count("order_id").alias("order_volume")
+        money_sum("total_price").alias("total_price_unique_cust"), F.count("order_id").alias("order_volume")
     )
     valued = _with_value_segment(customers, value_cuts).filter("customer_unique_id IS NOT NULL")
     segmented = valued.withColumn("volume_segment", tier("order_volume", volume_cuts))
@@ -137,15 +140,15 @@ def payment_preference(raw_orders: DataFrame, payments: DataFrame, raw_customers
     owned = enrich(valid, raw_customers, ["customer_id"], ["customer_unique_id"]).filter(
         "customer_unique_id IS NOT NULL"
     )
-    per_order = payments.groupBy("order_id", "payment_type").agg(F.sum("payment_value").alias("paid"))
+    per_order = payments.groupBy("order_id", "payment_type").agg(money_sum("payment_value").alias("paid"))
     per_type = (
         per_order.join(owned.select("order_id", "customer_unique_id", "purchased"), on="order_id", how="inner")
         .groupBy("customer_unique_id", "payment_type")
-        .agg(F.sum("paid").alias("paid"), F.max("purchased").alias("last_used"))
+        .agg(money_sum("paid").alias("paid"), F.max("purchased").alias("last_used"))
     )
     return per_type.groupBy("customer_unique_id").agg(
         heaviest("payment_type", "paid", F.col("last_used")).alias("preferred_payment_type"),
-        F.sum("paid").alias("total_paid"),
+        money_sum("paid").alias("total_paid"),
     )
 
 

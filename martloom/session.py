@@ -30,16 +30,20 @@ def build_session(app: str = "martloom", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+_local_scratch: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared folder the session names in `spark.checkpoint.dir`.
 
     Every executor must see it. Only a local master, where driver and executors are one
-    machine, falls back to a temporary folder when the setting is missing.
+    machine, falls back to a temporary folder when nothing is set.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        if not _local_scratch:
+            _local_scratch.append(tempfile.mkdtemp(prefix="run-"))
+        shared = _local_scratch[0]
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -10,7 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from martloom.operators.quality import Expectation, as_drop_rules, enforce, observe
+from martloom.operators.quality import as_drop_rules, enforce, observe
+from martloom.session import scratch_dir
 from martloom.sources.schemas import FileSource
 
 
@@ -83,6 +84,17 @@ def write_table(
     writer.save(target)
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared scratch folder and return the stored copy.
+
+    For a result that several branches of one plan read: it is computed once, its size is known to
+    the optimizer, and a lost executor costs no recomputation of what led to it.
+    """
+    folder = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def save_table(
     df: DataFrame,
     name: str,

@@ -1,16 +1,27 @@
 """Retail source tables derived from an orders / line items / parts star schema.
 
-A deterministic projection per table: no shuffle except the distinct list of part types.
+A deterministic projection per table: no shuffle except the distinct list of part types. The files'
+layout is declared, so no job runs to infer it, and a table is opened only when something reads it.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from martloom.functions import MONEY, first_match
-
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Layout of the star tables.
+STAR_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
 # Payment type by return flag and line status (untrimmed and mixed case on purpose).
 PAYMENT_TYPES = {
     "AF": " Credit_Card ",
@@ -20,146 +31,132 @@ PAYMENT_TYPES = {
     "RF": "not_defined",
     "RO": "credit_card",
 }
-GHOST_OFFSET = 1_000_000_000
-
-
-@dataclass(frozen=True)
-class RawTables:
-    """The source tables every mart starts from."""
-
-    raw_orders: DataFrame
-    raw_order_items: DataFrame
-    raw_order_payments: DataFrame
-    raw_products: DataFrame
-    raw_product_names_translation: DataFrame
-    raw_customers: DataFrame
-    raw_sellers: DataFrame
-    raw_geolocation: DataFrame
-    raw_order_reviews: DataFrame | None = None
-
-    def items(self) -> dict[str, DataFrame]:
-        pairs = {f.name: getattr(self, f.name) for f in fields(self)}
-        return {name: df for name, df in pairs.items() if df is not None}
-
-
-def _date_after(base: Column, days: Column) -> Column:
-    return F.date_add(base.cast("date"), days.cast("int")).cast("timestamp_ntz")
-
-
-def _orders(orders: DataFrame) -> DataFrame:
-    key, placed = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp_ntz")
-    state = F.col("o_orderstatus")
-    status = first_match(
-        [
-            (state == "F", " Delivered"),
-            ((state == "O") & (key % 2 == 0), "delivered"),
-            (state == "O", "shipped"),
-            (key % 4 == 0, "canceled"),
-            (key % 4 == 1, "unavailable"),
-            (key % 4 == 2, "processing"),
-        ],
-        "invoiced",
-    )
-    return orders.select(
-        key.cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        status.alias("order_status"),
-        placed.alias("order_purchase_timestamp"),
-        placed.alias("order_approved_at"),
-        F.when(key % 29 != 0, _date_after(placed, key % 5)).alias("order_delivered_carrier_date"),
-        F.when(key % 31 != 0, _date_after(placed, key % 5 + key * 7 % 23)).alias("order_delivered_customer_date"),
-        F.when(key % 37 != 0, _date_after(placed, 8 + F.col("o_custkey") % 12)).alias(
-            "order_estimated_delivery_date"
-        ),
-    )
 
-
-def _items(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_linenumber").cast("string").alias("order_item_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
-        F.col("l_suppkey").cast("string").alias("seller_id"),
-        F.col("l_shipdate").cast("timestamp_ntz").alias("shipping_limit_date"),
-        F.col("l_extendedprice").cast(MONEY).alias("price"),
-        F.col("l_quantity").cast(MONEY).alias("freight_value"),
-    )
-
-
-def _payments(lineitem: DataFrame) -> DataFrame:
-    key, amount = F.col("l_orderkey"), F.col("l_extendedprice").cast(MONEY)
-    kind = F.concat("l_returnflag", "l_linestatus")
-    return lineitem.select(
-        F.when(key % 101 == 0, key + GHOST_OFFSET).otherwise(key).cast("string").alias("order_id"),
-        F.col("l_linenumber").cast("int").alias("payment_sequential"),
-        first_match([(kind == k, v) for k, v in PAYMENT_TYPES.items()]).alias("payment_type"),
-        (F.col("l_quantity").cast("int") % 12 + 1).alias("payment_installments"),
-        F.when(F.col("l_quantity") == 50, -amount).otherwise(amount).cast(MONEY).alias("payment_value"),
-    )
+_STATUS = """CASE WHEN o_orderstatus = 'F' THEN ' Delivered'
+    WHEN o_orderstatus = 'O' THEN if(o_orderkey % 2 = 0, 'delivered', 'shipped')
+    ELSE element_at(array('canceled', 'unavailable', 'processing', 'invoiced'), cast(o_orderkey % 4 + 1 AS int)) END"""
+_KIND = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in PAYMENT_TYPES.items())
+
+
+def _later(days: str, unless: str) -> str:
+    return f"CASE WHEN NOT {unless} THEN cast(date_add(cast(o_orderdate AS date), cast({days} AS int)) AS timestamp_ntz) END"
+
+
+def _state(nation: str) -> str:
+    return f"concat('N', char(65 + {nation}))"
+
+
+_PROJECTIONS = {
+    "raw_orders": (
+        "orders",
+        "cast(o_orderkey AS string) AS order_id",
+        "cast(o_custkey AS string) AS customer_id",
+        f"{_STATUS} AS order_status",
+        "o_orderdate AS order_purchase_timestamp",
+        "o_orderdate AS order_approved_at",
+        f"{_later('o_orderkey % 5', 'o_orderkey % 29 = 0')} AS order_delivered_carrier_date",
+        f"{_later('o_orderkey % 5 + o_orderkey * 7 % 23', 'o_orderkey % 31 = 0')} AS order_delivered_customer_date",
+        f"{_later('8 + o_custkey % 12', 'o_orderkey % 37 = 0')} AS order_estimated_delivery_date",
+    ),
+    "raw_order_items": (
+        "lineitem",
+        "cast(l_orderkey AS string) AS order_id",
+        "cast(l_linenumber AS string) AS order_item_id",
+        "cast(l_partkey AS string) AS product_id",
+        "cast(l_suppkey AS string) AS seller_id",
+        "l_shipdate AS shipping_limit_date",
+        "l_extendedprice AS price",
+        "l_quantity AS freight_value",
+    ),
+    "raw_order_payments": (
+        "lineitem",
+        "cast(if(l_orderkey % 101 = 0, l_orderkey + 1000000000, l_orderkey) AS string) AS order_id",
+        "l_linenumber AS payment_sequential",
+        f"CASE concat(l_returnflag, l_linestatus) {_KIND} END AS payment_type",
+        "cast(l_quantity AS int) % 12 + 1 AS payment_installments",
+        "if(l_quantity = 50, -l_extendedprice, l_extendedprice) AS payment_value",
+    ),
+    "raw_products": (
+        "part",
+        "cast(p_partkey AS string) AS product_id",
+        "CASE WHEN p_partkey % 50 <> 0 THEN lower(p_type) END AS product_category_name",
+        "p_size * 10 AS product_weight_g",
+        "p_size AS product_length_cm",
+        "p_size AS product_height_cm",
+        "p_size AS product_width_cm",
+    ),
+    "raw_customers": (
+        "customer",
+        "cast(c_custkey AS string) AS customer_id",
+        "concat('u', cast(c_custkey div 4 AS string)) AS customer_unique_id",
+        "cast(c_custkey % 97 AS int) AS customer_zip_code_prefix",
+        "concat(' City ', c_nationkey) AS customer_city",
+        f"lower({_state('c_nationkey')}) AS customer_state",
+    ),
+    "raw_sellers": (
+        "supplier",
+        "cast(s_suppkey AS string) AS seller_id",
+        "cast(s_suppkey % 97 AS string) AS seller_zip_code_prefix",
+        "concat(' City ', s_nationkey) AS seller_city",
+        f"{_state('s_nationkey')} AS seller_state",
+    ),
+    "raw_order_reviews": (
+        "documents",
+        "concat('r', doc_id) AS review_id",
+        "cast(doc_id AS string) AS order_id",
+        "cast(n_chars % 5 + 1 AS int) AS review_score",
+        """concat(lang, ' "quoted", ', source) AS review_comment_title""",
+        "text AS review_comment_message",
+        "cast(date_add(date'2020-01-01', cast(n_chars % 365 AS int)) AS timestamp_ntz) AS review_creation_date",
+        "cast(date_add(date'2020-01-01', cast(n_chars % 365 + 2 AS int)) AS timestamp_ntz) AS review_answer_timestamp",
+    ),
+}
 
 
-def _products(part: DataFrame) -> DataFrame:
-    size = F.col("p_size").cast("int")
-    return part.select(
-        F.col("p_partkey").cast("string").alias("product_id"),
-        F.when(F.col("p_partkey") % 50 != 0, F.lower("p_type")).alias("product_category_name"),
-        (size * 10).alias("product_weight_g"),
-        size.alias("product_length_cm"),
-        size.alias("product_height_cm"),
-        size.alias("product_width_cm"),
-    )
+class RawTables(Mapping):
+    """The source tables every mart starts from, by name. A table is opened on first use."""
 
+    def __init__(self, openers: Mapping[str, Callable[[], DataFrame]]):
+        self._openers = dict(openers)
+        self._opened: dict[str, DataFrame] = {}
 
-def _translation(part: DataFrame) -> DataFrame:
-    kind = F.lower("p_type")
-    known = ~(F.col("p_type").contains("PROMO") | F.col("p_type").contains("SMALL"))
-    return (
-        part.filter(known)
-        .select(kind.alias("product_category_name"))
-        .distinct()
-        .withColumn("product_category_name_english", F.concat(F.lit("en_"), "product_category_name"))
-    )
+    @classmethod
+    def of(cls, **tables: DataFrame) -> RawTables:
+        return cls({name: (lambda df=df: df) for name, df in tables.items()})
 
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self._openers[name]()
+        return self._opened[name]
 
-def _place(nation: str) -> tuple[Column, Column]:
-    city = F.concat(F.lit(" City "), F.col(nation).cast("string"))
-    return city, F.concat(F.lit("N"), F.char(F.lit(65) + F.col(nation)))
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._openers:
+            raise AttributeError(name)
+        return self[name]
 
+    def __iter__(self):
+        return iter(self._openers)
 
-def _customers(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    city, state = _place("c_nationkey")
-    return customer.select(
-        key.cast("string").alias("customer_id"),
-        F.concat(F.lit("u"), F.expr("c_custkey div 4").cast("string")).alias("customer_unique_id"),
-        (key % 97).cast("int").alias("customer_zip_code_prefix"),
-        city.alias("customer_city"),
-        F.lower(state).alias("customer_state"),
-    )
+    def __len__(self) -> int:
+        return len(self._openers)
 
 
-def _sellers(supplier: DataFrame) -> DataFrame:
-    city, state = _place("s_nationkey")
-    return supplier.select(
-        F.col("s_suppkey").cast("string").alias("seller_id"),
-        (F.col("s_suppkey") % 97).cast("string").alias("seller_zip_code_prefix"),
-        city.alias("seller_city"),
-        state.alias("seller_state"),
-    )
+def _translation(part: DataFrame) -> DataFrame:
+    known = part.filter("NOT (p_type LIKE '%PROMO%' OR p_type LIKE '%SMALL%')")
+    names = known.selectExpr("lower(p_type) AS product_category_name").distinct()
+    return names.selectExpr("*", "concat('en_', product_category_name) AS product_category_name_english")
 
 
 def _geolocation(customer: DataFrame, supplier: DataFrame) -> DataFrame:
     """Every customer and supplier place; the zip code is missing for keys divisible by five."""
 
     def places(df: DataFrame, key: str, nation: str, balance: str) -> DataFrame:
-        city, state = _place(nation)
-        lat = F.col(balance).cast(MONEY)
-        return df.select(
-            F.when(F.col(key) % 5 != 0, (F.col(key) % 97).cast("string")).alias("geolocation_zip_code_prefix"),
-            lat.cast("string").alias("geolocation_lat"),
-            (-lat).cast("string").alias("geolocation_lng"),
-            city.alias("geolocation_city"),
-            state.alias("geolocation_state"),
+        return df.selectExpr(
+            f"CASE WHEN {key} % 5 <> 0 THEN cast({key} % 97 AS string) END AS geolocation_zip_code_prefix",
+            f"cast(cast({balance} AS decimal(18,2)) AS string) AS geolocation_lat",
+            f"cast(-cast({balance} AS decimal(18,2)) AS string) AS geolocation_lng",
+            f"concat(' City ', {nation}) AS geolocation_city",
+            f"{_state(nation)} AS geolocation_state",
         )
 
     return places(customer, "c_custkey", "c_nationkey", "c_acctbal").unionByName(
@@ -167,32 +164,14 @@ def _geolocation(customer: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
-def _reviews(documents: DataFrame) -> DataFrame:
-    created = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("n_chars") % 365).cast("int"))
-    return documents.select(
-        F.concat(F.lit("r"), F.col("doc_id").cast("string")).alias("review_id"),
-        F.col("doc_id").cast("string").alias("order_id"),
-        (F.col("n_chars") % 5 + 1).cast("int").alias("review_score"),
-        F.concat_ws(' "quoted", ', "lang", "source").alias("review_comment_title"),
-        F.col("text").alias("review_comment_message"),
-        created.cast("timestamp_ntz").alias("review_creation_date"),
-        F.date_add(created, 2).cast("timestamp_ntz").alias("review_answer_timestamp"),
-    )
-
-
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    part, customer, supplier, lineitem = map(table, ("part", "customer", "supplier", "lineitem"))
-    return RawTables(
-        raw_orders=_orders(table("orders")),
-        raw_order_items=_items(lineitem),
-        raw_order_payments=_payments(lineitem),
-        raw_products=_products(part),
-        raw_product_names_translation=_translation(part),
-        raw_customers=_customers(customer),
-        raw_sellers=_sellers(supplier),
-        raw_geolocation=_geolocation(customer, supplier),
-        raw_order_reviews=_reviews(table("documents")),
-    )
+        return spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+    openers = {
+        name: (lambda source=source, columns=columns: table(source).selectExpr(*columns))
+        for name, (source, *columns) in _PROJECTIONS.items()
+    }
+    openers["raw_product_names_translation"] = lambda: _translation(table("part"))
+    openers["raw_geolocation"] = lambda: _geolocation(table("customer"), table("supplier"))
+    return RawTables(openers)

@@ -1,11 +1,13 @@
 """Every named query against its SQL, with exact values and types."""
 
+import os
+
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
 from tests.compare import connect, difference
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 SQL = oracle_sql()
 
 
