@@ -4,17 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+BROADCAST_ROWS = 1_000_000
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the frame, an upper bound for plain scans and projections."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only when the estimated size stays below `limit`; else leave the join to Catalyst."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast after checking that the frame has at most `max_rows` rows; else leave the
+    join to Catalyst. The check reads no more than that many rows."""
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
 
 
 def enrich(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom.operators.quality import DROP, FAIL, WARN, as_drop_rules, enforce, violation_report
-from martloom.operators.sampling import sample_by_key, sample_rows
+from martloom.operators.sampling import sample_rows
 from martloom.plans import audits, conform, delivery, revenue, segments
 from martloom.plans.model import RetailModel
 from martloom.plans.rules import RULES
@@ -187,21 +187,6 @@ def _folder(m: RetailModel) -> DataFrame:
 # --- samples ------------------------------------------------------------------------------------
 
 
-def _monthly_from_sample(fraction: float) -> Query:
-    """The monthly mart over a sample of orders; orders and items are sampled by the same key."""
-
-    def query(m: RetailModel) -> DataFrame:
-        orders = sample_by_key(m.raw.raw_orders, "order_id", fraction)
-        items = sample_by_key(m.priced_items, "order_id", fraction)
-        payments = sample_by_key(m.payments_clean, "order_id", fraction)
-        fact = conform.orders_revenue(
-            orders, conform.items_per_order(items), conform.payments_per_order(payments), m.customer_places
-        )
-        return revenue.revenue_monthly(fact)
-
-    return query
-
-
 def _sample_sizes(m: RetailModel) -> DataFrame:
     """Seeded row samples at the two benchmark fractions."""
     frames = [
@@ -222,8 +207,8 @@ QUERIES: dict[str, Query] = {
     "ingest_lineage": _lineage,
     "ingest_folder_csv": _folder,
     "sample_scaling": _sample_sizes,
-    "sample_by_key_half": _monthly_from_sample(0.5),
-    "sample_by_key_tenth": _monthly_from_sample(0.1),
+    "sample_by_key_half": lambda m: m.sampled(0.5).revenue_monthly,
+    "sample_by_key_tenth": lambda m: m.sampled(0.1).revenue_monthly,
     # quality
     "dq_warn_counts": lambda m: _reports(m, WARN),
     "dq_report": lambda m: _reports(m, WARN, DROP, FAIL),
@@ -240,6 +225,7 @@ QUERIES: dict[str, Query] = {
     "payments_order_agg": _table("payments_order_agg"),
     "product_catalog": _table("product_catalog"),
     "order_items_revenue": _table("order_items_revenue"),
+    "order_items_revenue_broadcast": lambda m: RetailModel(m.raw, broadcast_dimensions=True).order_items_revenue,
     "items_per_order": _table("items_per_order"),
     "orders_revenue": _table("orders_revenue"),
     "orders_revenue_no_customers": lambda m: conform.orders_revenue(

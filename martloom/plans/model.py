@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from martloom.operators.quality import enforce
+from martloom.operators.sampling import sample_by_key
 from martloom.plans import conform, delivery, revenue, segments
 from martloom.plans.rules import RULES
 from martloom.sources.star import RawTables
@@ -24,6 +25,12 @@ class RetailModel:
         self.raw = raw
         self.broadcast_dimensions = broadcast_dimensions
 
+    def sampled(self, fraction: float) -> RetailModel:
+        """The model over a fraction of the orders, with their items and payments."""
+        names = ("raw_orders", "raw_order_items", "raw_order_payments")
+        picked = {name: sample_by_key(self.raw[name], "order_id", fraction) for name in names}
+        return RetailModel(self.raw.replacing(**picked), self.broadcast_dimensions)
+
     @staticmethod
     def _checked(name: str, df: DataFrame) -> DataFrame:
         return enforce(df, RULES.get(name, ()))

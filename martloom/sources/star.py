@@ -124,6 +124,10 @@ class RawTables(Mapping):
     def of(cls, **tables: DataFrame) -> RawTables:
         return cls({name: (lambda df=df: df) for name, df in tables.items()})
 
+    def replacing(self, **tables: DataFrame) -> RawTables:
+        """The same tables with some of them exchanged."""
+        return RawTables({**self._openers, **{name: (lambda df=df: df) for name, df in tables.items()}})
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._opened:
             self._opened[name] = self._openers[name]()

@@ -273,6 +273,7 @@ WHERE customer_id IS NOT NULL AND customer_zip_code_prefix > 0""",
     "payments_order_agg": _doubles("pay_order", _AS_DOUBLE["payments_order_agg"]),
     "product_catalog": "SELECT * FROM catalog",
     "order_items_revenue": _doubles("item_rev", _AS_DOUBLE["order_items_revenue"]),
+    "order_items_revenue_broadcast": _doubles("item_rev", _AS_DOUBLE["order_items_revenue"]),
     "items_per_order": _doubles("item_order", _AS_DOUBLE["items_per_order"]),
     "orders_revenue": _doubles("ord_rev", _AS_DOUBLE["orders_revenue"]),
     "orders_revenue_no_customers": _NO_CUSTOMER,
