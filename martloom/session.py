@@ -7,23 +7,36 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime settings every plan here relies on. AQE coalesces small shuffle partitions, turns a
-# shuffled join into a broadcast one when the measured side is small, and splits the partitions
-# that a hot join key overfills.
-SQL_SETTINGS = {
+# Runtime settings every plan here relies on. Adaptive execution coalesces small shuffle partitions,
+# turns a shuffled join into a broadcast one when the measured side is small, and splits the
+# partitions that a hot join key overfills, also where that costs one more shuffle behind the join.
+ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+# UTC for zoned text; and no call-site capture, which costs several driver round trips per column.
+SESSION_SETTINGS = {
+    **ADAPTIVE_SETTINGS,
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Switch the adaptive settings on in a session made elsewhere."""
+    for key, value in ADAPTIVE_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "martloom", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings above; `extra` keys use `__` for `.`."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SQL_SETTINGS.items():
+    for key, value in SESSION_SETTINGS.items():
         builder = builder.config(key, value)
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -1,6 +1,7 @@
 """The shape of the plans: what is read, what is shuffled, what stays in generated code."""
 
 import pytest
+from pyspark.errors import PySparkException
 
 from martloom.operators.sampling import sample_by_key
 from martloom.plans.catalog import QUERIES
@@ -151,3 +152,59 @@ def test_published_marts_equal_the_composed_ones(spark):
 
 def test_every_survey_query_is_registered():
     assert len(QUERIES) > 70
+
+
+def test_marts_from_ingested_files_equal_the_direct_ones(spark):
+    from martloom.sources.ingest import read_tables, write_csv
+    from martloom.sources.schemas import default_config, sources_from_config
+    from martloom.sources.star import RawTables
+
+    raw = raw_tables(spark, SF_DIR)
+    sources = sources_from_config(default_config(scratch_dir(spark, "landing")))
+    for source in sources:
+        write_csv(raw[source.table_name], source.path, source)
+    landed = RetailModel(RawTables.of(**read_tables(spark, sources)))
+    direct = RetailModel(raw)
+    for name in ("revenue_by_payment_type_month", "revenue_by_category_month", "seller_geo", "order_totals"):
+        got = sorted(map(str, getattr(landed, name).collect()))
+        assert got and got == sorted(map(str, getattr(direct, name).collect()))
+    # The ingest rules drop customers with a zip code of zero, so their orders have no known customer.
+    with pytest.raises(PySparkException, match="customer_unique_id_not_null"):
+        landed.customer_volume_segment.collect()
+
+
+def test_hot_order_at_item_grain_is_split(spark):
+    """The item-grain fact keeps adaptive splitting although more joins on the order follow."""
+    from martloom.plans import conform
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 60_000, numPartitions=8)
+        orders = rows.selectExpr(
+            "cast(id AS string) AS order_id", "'c' AS customer_id", "'delivered' AS order_status",
+            "timestamp_ntz'2022-01-01 00:00:00' AS order_purchase_timestamp",
+        )
+        items = rows.selectExpr(
+            "if(id % 3 = 0, '1', cast(id AS string)) AS order_id", "'p' AS product_id", "id AS order_item_id",
+            "cast(id AS double) AS price", "1.0D AS item_total_revenue", "'x' AS product_category_en",
+        )
+        payments = rows.selectExpr(
+            "cast(id AS string) AS order_id", "1.0D AS payment_value", "'boleto' AS payment_type",
+            "1 AS payment_sequential", "1 AS payment_installments",
+        )
+        fact = conform.orders_revenue_item_grain(orders, items, conform.payments_per_order(payments), None)
+        assert len(fact.collect()) == 60_000
+        assert "skew=true" in plan_text(fact)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
