@@ -16,10 +16,13 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
-# UTC for zoned text; and no call-site capture, which costs several driver round trips per column.
+# UTC for zoned text; room for the compiled code of many marts, so that a session that builds them in
+# turn does not compile each stage again; no call-site capture, which costs several driver round trips
+# per column.
 SESSION_SETTINGS = {
     **ADAPTIVE_SETTINGS,
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
