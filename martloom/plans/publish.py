@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -10,7 +11,7 @@ from martloom.functions import published
 from martloom.operators.quality import observe
 from martloom.plans.model import RetailModel
 from martloom.plans.rules import RULES
-from martloom.sources.ingest import write_table
+from martloom.sources.ingest import save_table, write_table
 
 CONFORMED = (
     "payments_clean",
@@ -52,6 +53,18 @@ SERVED_BY = {
 }
 
 
+# Tables that meet each other on the order; bucketed alike they join without a shuffle.
+BY_ORDER = (
+    "payments_order_agg",
+    "order_items_revenue",
+    "orders_revenue",
+    "delivery_order",
+    "order_seller_rollup",
+    "delivery_order_item",
+    "order_totals",
+)
+
+
 @dataclass
 class TableReport:
     table: str
@@ -59,6 +72,25 @@ class TableReport:
     violations: dict[str, int]
 
 
+def _publish(
+    model: RetailModel,
+    tables: tuple[str, ...],
+    write: Callable[[DataFrame, str], None],
+    read: Callable[[DataFrame, str], DataFrame],
+) -> list[TableReport]:
+    reports = []
+    for name in tables:
+        watch = Observation()
+        frame = observe(published(getattr(model, name)), RULES.get(name, ()), watch)
+        write(frame, name)
+        counts = dict(watch.get)
+        reports.append(TableReport(name, counts.pop("rows_seen", 0), counts))
+        stored = read(frame, name)
+        for served in (name, *[narrow for narrow, table in SERVED_BY.items() if table == name]):
+            setattr(model, served, stored)
+    return reports
+
+
 def publish(
     model: RetailModel,
     target: str,
@@ -71,23 +103,32 @@ def publish(
     is computed twice, scans fetch only the columns a mart needs, and a lost executor costs at most
     the table in progress. `partition_by` splits a table by column values, for readers that prune.
     """
-    partition_by = partition_by or {}
-    reports = []
-    for name in tables:
-        watch = Observation()
-        frame = observe(published(getattr(model, name)), RULES.get(name, ()), watch)
-        write_table(frame, f"{target}/{name}", partition_by=partition_by.get(name, ()))
-        counts = dict(watch.get)
-        reports.append(TableReport(name, counts.pop("rows_seen", 0), counts))
-        use_stored(model, name, f"{target}/{name}", frame)
-    return reports
+    split = partition_by or {}
+    return _publish(
+        model,
+        tables,
+        lambda df, name: write_table(df, f"{target}/{name}", partition_by=split.get(name, ())),
+        lambda df, name: df.sparkSession.read.schema(df.schema).parquet(f"{target}/{name}"),
+    )
+
+
+def publish_to_catalog(
+    model: RetailModel, database: str, buckets: int | None = None, tables: tuple[str, ...] = CONFORMED + MARTS
+) -> list[TableReport]:
+    """The same as named tables of a database. With `buckets`, tables at order grain are bucketed by
+    order, so the marts and facts built from them join without moving rows.
+
+    Rows are brought together by bucket before the write, one file per bucket. An order that holds a
+    large part of all rows makes its bucket large; publish such data without buckets.
+    """
 
+    def write(df: DataFrame, name: str) -> None:
+        if buckets and name in BY_ORDER:
+            save_table(df.repartition(buckets, "order_id"), f"{database}.{name}", bucket_by=(buckets, "order_id"))
+        else:
+            save_table(df, f"{database}.{name}")
 
-def use_stored(model: RetailModel, name: str, path: str, like: DataFrame) -> None:
-    """Let the model read a table from storage."""
-    rows = like.sparkSession.read.schema(like.schema).parquet(path)
-    for served in (name, *[narrow for narrow, table in SERVED_BY.items() if table == name]):
-        setattr(model, served, rows)
+    return _publish(model, tables, write, lambda df, name: df.sparkSession.table(f"{database}.{name}"))
 
 
 def read_published(spark: SparkSession, target: str, name: str) -> DataFrame:
