@@ -1,10 +1,8 @@
-"""Many-to-one collapses and one-row results."""
+"""Aggregates that collapse many rows to one."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from martloom.functions import money_sum
+from pyspark.sql import Column, functions as F
 
 
 def distinct_list(label: str, separator: str = ",") -> Column:
@@ -21,13 +19,3 @@ def heaviest(label: str, weight: str | Column, *tiebreak: Column) -> Column:
     weight = F.col(weight) if isinstance(weight, str) else weight
     return F.max_by(F.col(label), F.struct(weight, *tiebreak, F.col(label)))
 
-
-def top_label(df: DataFrame, label: str, value: str, output: str) -> DataFrame:
-    """One row: the label with the largest total amount. NULL on empty input."""
-    totals = df.groupBy(label).agg(money_sum(value).alias("_total"))
-    return totals.agg(heaviest(label, "_total").alias(output))
-
-
-def with_one_row_values(df: DataFrame, *singles: DataFrame) -> DataFrame:
-    """Append columns that come from one-row frames, as scalar subqueries: no join at all."""
-    return df.select("*", *[s.scalar().alias(s.columns[0]) for s in singles])

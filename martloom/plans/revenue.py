@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from martloom.functions import money_sum, pct_change, ratio
 from martloom.operators.periods import with_period_change, with_rolling_sum
 from martloom.operators.ranking import with_dense_rank, with_share
-from martloom.operators.rollup import heaviest, top_label, with_one_row_values
+from martloom.operators.rollup import heaviest
 
 MONTH = "order_purchase_month"
 
@@ -92,37 +92,38 @@ def _daily(orders: DataFrame) -> DataFrame:
     )
 
 
-def _order_figures(daily: DataFrame) -> DataFrame:
+def _figures(daily: DataFrame, categories: DataFrame) -> DataFrame:
     """One row of totals, periods and top labels.
 
-    The small daily table is regrouped by day, by state and by payment type at once. Day rows give
-    the totals, with the last 365 days and the 365 before them measured from the newest day.
+    The small daily table is regrouped by day, by state and by payment type at once, and stacked on
+    the category totals: one plan, whose branches run side by side. Day rows give the totals, with
+    the last 365 days and the 365 before them measured from the newest day.
     """
     axes = ["order_purchase_date", "customer_state", "primary_payment_type"]
     by_axis = daily.groupingSets([[a] for a in axes], *axes).agg(
-        *[(F.grouping(a) == 0).alias(f"by_{a}") for a in axes],
+        (F.grouping(axes[0]) == 0).alias("is_day"),
         F.sum("orders").alias("orders"),
         money_sum("revenue").alias("revenue"),
     )
+    by_category = categories.groupBy("product_category_en").agg(money_sum("total_revenue").alias("revenue"))
+    stacked = by_axis.unionByName(by_category, allowMissingColumns=True)
     newest = F.max("order_purchase_date").over(Window.partitionBy())
-    dated = by_axis.withColumn("age", F.datediff(newest, F.col("order_purchase_date")))
-    is_day = F.col("by_order_purchase_date")
+    dated = stacked.withColumn("age", F.datediff(newest, F.col("order_purchase_date")))
+    is_day = F.col("is_day")
 
     def within(low: int, high: int) -> Column:
         inside = is_day & (F.col("age") >= low) & (F.col("age") < high)
         return F.coalesce(money_sum(F.when(inside, F.col("revenue"))), F.lit(0.0))
 
     def top(axis: str) -> Column:
-        known = F.col(f"by_{axis}") & F.col(axis).isNotNull()
-        return F.max_by(axis, F.when(known, F.struct("revenue", axis)))
+        return F.max_by(axis, F.when(F.col(axis).isNotNull(), F.struct("revenue", axis))).alias(f"top_{axis}")
 
     return dated.agg(
         F.coalesce(F.sum(F.when(is_day, F.col("orders"))), F.lit(0)).alias("total_orders"),
         money_sum(F.when(is_day, F.col("revenue"))).alias("total_revenue"),
         within(0, 365).alias("last_12m_revenue"),
         within(365, 730).alias("prior_12m_revenue"),
-        top("customer_state").alias("top_customer_state"),
-        top("primary_payment_type").alias("top_payment_type"),
+        *[top(axis) for axis in ("product_category_en", *axes[1:])],
     )
 
 
@@ -132,17 +133,16 @@ def revenue_exec_summary(
     """One row of headline figures, also on empty input. `as_of` replaces the current time."""
     stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
     categories = category_month_totals(months, category_orders)
-    top_category = top_label(categories, "product_category_en", "total_revenue", "top_category")
-    return with_one_row_values(_order_figures(_daily(orders)), top_category).select(
+    return _figures(_daily(orders), categories).select(
         "total_orders",
         "total_revenue",
         "last_12m_revenue",
         "prior_12m_revenue",
         ratio("total_revenue", "total_orders").alias("aov"),
         pct_change("last_12m_revenue", "prior_12m_revenue").alias("yoy_growth_pct"),
-        "top_category",
+        F.col("top_product_category_en").alias("top_category"),
         "top_customer_state",
-        "top_payment_type",
+        F.col("top_primary_payment_type").alias("top_payment_type"),
         stamp.alias("kpi_generated_ts"),
     )
 
