@@ -123,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, grades: in
 
 
 def fit_ordinal(
-    sets: list[list[int]], grade: np.ndarray, counts: np.ndarray, n_features: int, grades: int, l2: float = 1.0, steps: int = 800, rate: float = 0.1
+    sets: list[list[int]], grade: np.ndarray, counts: np.ndarray, n_features: int, grades: int, l2: float = 0.1, steps: int = 800, rate: float = 0.1
 ) -> tuple[np.ndarray, np.ndarray]:
     """Maximum penalised likelihood by Adam; thresholds are a first one plus positive gaps."""
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
