@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.llm import mixing, packing, sharding, token_files, toxicity
+from martloom.llm import cap_filters, fingerprints, hmm, mixing, near_duplicates, packing, secret_scan, sharding, token_files, toxicity
 from martloom.llm.sql import FAIR_MIX
-from martloom.llm.support import Workspace, prepared
+from martloom.llm.support import Workspace, prepared, text_of
 from martloom.llm.tokens import public_path
 
 
@@ -34,6 +34,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+def op4_inverted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op5_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     queue = mixing.fair_queue(table(spark, sf_dir, "documents"))
     return queue.select("doc_id", "size", "source_size", "target", "taken")
@@ -45,6 +53,26 @@ def op6_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_documents(table(spark, sf_dir, "documents"), hmm.every_seventh())
+
+
+def op8_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs.select("doc_id", text_of().alias("text")))
+    return found.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        *[F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secret_scan.joined_spans("assign", "access", "hex").cast("binary"), 256).alias("base_sha256"),
+        secret_scan.joined_spans("assign", "access", "hex", "random").alias("spans"),
+        F.size("random").cast("bigint").alias("n_random"),
+    )
+
+
+def op9_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"))
 
@@ -52,8 +80,13 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_toxicity": op2_toxicity,
+    "op3_weighted_sampling": op3_weighted_sampling,
+    "op4_inverted_minhash": op4_inverted_minhash,
     "op5_fair_mix": op5_fair_mix,
     "op6_bounded_ring": op6_bounded_ring,
+    "op7_hidden_markov": op7_hidden_markov,
+    "op8_markov_secrets": op8_markov_secrets,
+    "op9_cap_filters": op9_cap_filters,
     "op10_best_fit": op10_best_fit,
 }
 
