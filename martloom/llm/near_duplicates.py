@@ -226,3 +226,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, matches:
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs` whose id is the smallest of its component; rows that repeat an id and text stay once.
+
+    Ids that occur once need no further look; for the others rows are compared by id and text.
+    """
+    work = Workspace(docs.sparkSession, "one-of-each")
+    found = near_duplicates(docs, width, percent).where("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows"))
+    kept = work.table(found, "kept")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    carried = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(text_of()).alias("text_hash"), row.alias("row"))
+
+    def joined(wanted: DataFrame) -> DataFrame:
+        return carried.join(wanted.select("kept_id"), F.col("id").eqNullSafe(F.col("kept_id")))
+
+    single = joined(kept.where("rows = 1")).select("row.*")
+    repeated = joined(kept.where("rows > 1")).dropDuplicates(["id", "text_hash"]).select("row.*")
+    return single.unionByName(repeated)

@@ -15,13 +15,12 @@ from functools import lru_cache
 
 import numpy as np
 
+from martloom.llm.support import LOWER
+
 # Pre-tokenizers whose units are known.
 SPACED, UNSPACED = "spaced", "unspaced"
 LATIN = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+")
-# Python splits at these four, the tokenizers do not.
-SEPARATORS = re.compile("[\x1c-\x1f]")
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-CACHE_UNITS = 600_000
+CACHE_UNITS = 1_200_000
 
 
 def public_path(name: str) -> str:
@@ -52,48 +51,60 @@ class CachedEncoder:
         self.widths = np.array([len(n) for n in names])
         self.ends = np.array([bool(ending) and n.endswith(ending) for n in names])
         self.vocabulary = size
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str | bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
         if self.mode is None:
             return self._plain(texts)
+        if len(self.cache) > CACHE_UNITS:
+            self.cache.clear()
+        get = self.cache.get
         units = [self._units(t) for t in texts]
-        self._learn(set().union(*units))
-        get = self.cache.__getitem__
-        return [b"".join(map(get, u)) for u in units]
+        found = [list(map(get, u)) for u in units]
+        missing = [[k for k, ids in enumerate(f) if ids is None] if None in f else [] for f in found]
+        self._learn({u[k] for u, holes in zip(units, missing) for k in holes})
+        for f, u, holes in zip(found, units, missing):
+            for k in holes:
+                f[k] = get(u[k])
+        return [b"".join(f) for f in found]
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _units(self, text: str) -> list[str]:
-        """Cut `text` at places where no id can change. Units joined again give the text (spaced mode)."""
+    def _units(self, text: str) -> list[str] | list[bytes]:
+        """Cut `text` at places where no id can change. Units joined again give the text (spaced mode); where
+        white space and case go anyway, units are lower-case words as bytes, but for names of special tokens."""
         if self.mode == UNSPACED:
-            return WORDS.findall(text) if SEPARATORS.search(text) else text.split()
+            raw = text.encode()
+            return (raw if b"<|" in raw else raw.translate(LOWER)).split()
         marked = text.replace("\n", " \n").split(" ")
         if len(marked) != len(text.split()):  # runs of white space, or kinds other than blank and line feed
             return re.split(r"(?<=\S)(?=\s\S)", text) if text else []
         return [marked[0], *(u if u[0] == "\n" else " " + u for u in marked[1:])]
 
-    def _learn(self, units: set[str]) -> None:
-        cache = self.cache
-        if len(cache) > CACHE_UNITS:
-            cache.clear()
-        new = units.difference(cache)
+    def _learn(self, units: set) -> None:
+        """Ids of units not known yet: a full stop or comma at the end is looked up on its own."""
+        cache, raw = self.cache, self.mode == UNSPACED
+        new = {u.decode() for u in units} if raw else units
         tails = [u for u in new if len(u) > 1 and u[-1] in ".," and u[-2].isalpha()]
         cores = {u[:-1] for u in tails}
         cores.update(new.difference(tails), (".", ",") if tails else ())
-        cores.difference_update(cache)
         plain, joined = [], []
         for u in cores:
-            (joined if LATIN.fullmatch(u) and (self.mode == UNSPACED or u[0] in " \n") else plain).append(u)
+            if (u.encode() if raw else u) not in cache:
+                (joined if LATIN.fullmatch(u) and (raw or u[0] in " \n") else plain).append(u)
         for start in range(0, len(plain), 1000):
             part = plain[start : start + 1000]
-            cache.update(zip(part, self._plain(part)))
+            self._keep(part, self._plain(part))
         for start in range(0, len(joined), 5000):
             self._learn_words(joined[start : start + 5000])
         for u in tails:
-            cache[u] = cache[u[:-1]] + cache[u[-1]]
+            key = u.encode() if raw else u
+            cache[key] = cache[key[:-1]] + cache[key[-1:]]
+
+    def _keep(self, units: list[str], ids: list[bytes]) -> None:
+        self.cache.update(zip([u.encode() for u in units] if self.mode == UNSPACED else units, ids))
 
     def _learn_words(self, words: list[str]) -> None:
         """One call for many words: each is one pre-token, so the ids fall apart at known widths or word ends."""
@@ -105,12 +116,10 @@ class CachedEncoder:
             bytes_to = np.cumsum([len(w.encode()) for w in words])
             stops = np.searchsorted(np.cumsum(self.widths[ids]), bytes_to) + 1
         if len(stops) != len(words) or (len(stops) and stops[-1] != len(ids)):
-            self.cache.update(zip(words, self._plain(words)))
+            self._keep(words, self._plain(words))
             return
-        raw, start = ids.tobytes(), 0
-        for word, stop in zip(words, (4 * stops).tolist()):
-            self.cache[word] = raw[start:stop]
-            start = stop
+        raw, stops = ids.tobytes(), [0, *(4 * stops).tolist()]
+        self._keep(words, [raw[a:b] for a, b in zip(stops, stops[1:])])
 
 
 @lru_cache(maxsize=2)
