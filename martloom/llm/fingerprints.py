@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from martloom.llm.support import Workspace, text_of
 
-COORDINATES = 40
+COORDINATES = 32
 SCALE = 1 << 20
 BLANK = r"[\x20\x09-\x0D]+"
 
@@ -54,122 +54,156 @@ def _plain_code(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def signatures(texts: DataFrame, keys: list[str], coordinates: int = COORDINATES) -> DataFrame:
-    """Per key the coordinates `s0`, `s1`, ... of its text; keys must be unique. Keys without terms are absent.
+# Which of two texts a part belongs to.
+FIRST, SECOND, SHARED = 0, 1, 2
 
-    If `texts` is partitioned by some of the keys, nothing moves.
+
+def signatures(parts: DataFrame, keys: list[str], carried: list[str], coordinates: int = COORDINATES) -> DataFrame:
+    """Signatures of two texts per key, `a0`, `a1`, ... and `b0`, `b1`, ..., from their parts: rows of keys, `side`,
+    `text` and `carried` numbers that are the same in all parts. Keys must be unique, and no word may run from
+    one part into another; a text without words has null coordinates.
+
+    What the texts share is split and counted once, and a term that weighs the same in both is drawn once.
+    If `parts` is partitioned by some of the keys, nothing moves.
     """
+    chars, side = F.char_length("word"), F.col("side")
     terms = (
-        texts.select(*keys, F.explode(F.split("text", BLANK)).alias("word"))
-        .where("word <> ''")
-        .groupBy(*keys, F.xxhash64("word").alias("term"), F.char_length("word").alias("chars"))
-        .agg(F.count("*").alias("n"))
-        .select(*keys, "term", F.ln(F.col("n") * F.col("chars")).alias("log_w"))
+        parts.select(*keys, *carried, "side", F.explode(F.split("text", BLANK)).alias("word"))
+        .groupBy(*keys, F.xxhash64("word").alias("term"))
+        .agg(
+            F.sum(F.when(side != SECOND, chars).otherwise(0)).alias("first_w"),
+            F.sum(F.when(side != FIRST, chars).otherwise(0)).alias("second_w"),
+            *[F.max(c).alias(c) for c in carried],
+        )
     )
-    return terms.groupBy(*keys).agg(*[F.min(_least(k)).alias(f"s{k}") for k in range(coordinates)])
 
+    def entry(where: int, weight: str) -> Column:
+        return F.struct(F.lit(where).alias("side"), F.col(weight).alias("weight"))
 
-def printed(coordinates: int = COORDINATES) -> Column:
-    """The fingerprint: eight hexadecimal digits for each coordinate."""
-    parts = [F.lpad(F.hex(F.xxhash64(f"s{k}").bitwiseAND(0xFFFFFFFF)), 8, "0") for k in range(coordinates)]
-    return F.lower(F.concat(*parts))
+    each = F.when(F.col("first_w") == F.col("second_w"), F.array(entry(SHARED, "first_w"))).otherwise(F.array(entry(FIRST, "first_w"), entry(SECOND, "second_w")))
+    weighted = terms.select(*keys, *carried, "term", F.explode(each).alias("e")).select(*keys, *carried, "term", "e.side", F.ln("e.weight").alias("log_w"))
+    drawn = weighted.groupBy(*keys, "side").agg(*[F.min(_least(k)).alias(f"s{k}") for k in range(coordinates)], *[F.max(c).alias(c) for c in carried])
+    return drawn.groupBy(*keys).agg(
+        *[F.min(F.when(side != SECOND, F.col(f"s{k}"))).alias(f"a{k}") for k in range(coordinates)],
+        *[F.min(F.when(side != FIRST, F.col(f"s{k}"))).alias(f"b{k}") for k in range(coordinates)],
+        *[F.max(c).alias(c) for c in carried],
+    )
+
+
+def packed(name: str, coordinates: int = COORDINATES) -> Column:
+    """A signature as bytes, four for each coordinate; zeros where there is no term."""
+    parts = [
+        F.when(F.col(f"{name}{k}").isNull(), "0" * 8).otherwise(F.lpad(F.hex(F.xxhash64(f"{name}{k}").bitwiseAND(0xFFFFFFFF)), 8, "0"))
+        for k in range(coordinates)
+    ]
+    return F.unhex(F.concat(*parts))
 
 
 def likeness(a: str, b: str, coordinates: int = COORDINATES) -> Column:
     """The share of coordinates in which two fingerprints agree, an estimate of generalised Jaccard similarity."""
-    same = [(F.substring(a, 8 * k + 1, 8) == F.substring(b, 8 * k + 1, 8)).cast("int") for k in range(coordinates)]
+    same = [(F.substring(a, 4 * k + 1, 4) == F.substring(b, 4 * k + 1, 4)).cast("int") for k in range(coordinates)]
     return sum(same[1:], same[0]) / F.lit(float(coordinates))
 
 
+KEY = ["id", "text_hash"]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Texts with a key that is never null, so that rows meet by plain equality: the id and a hash of the text,
+    which also tells a missing id from 0."""
+    doc_id = F.col("doc_id").cast("bigint")
+    text_hash = F.when(doc_id.isNull(), F.xxhash64(text_of(), F.lit("no id"))).otherwise(F.xxhash64(text_of()))
+    return docs.select(
+        doc_id.isNotNull().alias("known"), F.coalesce(doc_id, F.lit(0)).alias("id"), text_hash.alias("text_hash"), text_of().alias("text")
+    )
+
+
 def neighbours(work: Workspace, keys: DataFrame) -> DataFrame:
-    """Each row's successor in ascending (doc_id, text_hash), the first after the last: next_id, next_hash.
+    """Each key's successor in ascending order, the first after the last, as `next_*` columns.
 
     Rows are range-partitioned; inside a partition they are ordered, and between partitions only each one's
     first row counts.
     """
-    ranged = keys.repartitionByRange(F.asc_nulls_first("doc_id"), "text_hash")
-    placed = work.table(ranged.withColumn("part", F.spark_partition_id()), "order")
-    key = F.struct(F.col("doc_id").isNotNull().alias("known"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash"))
+    along = ["known", *KEY]
+    placed = work.table(keys.repartitionByRange(*along).withColumn("part", F.spark_partition_id()), "order")
+    key = F.struct(*along)
     firsts = placed.groupBy("part").agg(F.min(key).alias("first"))  # one row a partition
-    whole = Window.partitionBy(F.lit(0))
-    by_part = Window.orderBy("part")
     following = firsts.select(
-        F.col("part").alias("of_part"), F.coalesce(F.lead("first").over(by_part), F.min("first").over(whole)).alias("following")
-    )
-    inside = Window.partitionBy("part").orderBy(F.asc_nulls_first("doc_id"), "text_hash")
-    return (
-        placed.withColumn("after", F.lead(key).over(inside))
-        .join(following, F.col("part") == F.col("of_part"))
-        .withColumn("after", F.coalesce("after", "following"))
-        .select("doc_id", "text_hash", "n_chars", F.col("after.doc_id").alias("next_id"), F.col("after.text_hash").alias("next_hash"))
+        F.col("part").alias("of_part"),
+        F.coalesce(F.lead("first").over(Window.orderBy("part")), F.min("first").over(Window.partitionBy(F.lit(0)))).alias("following"),
     )
+    inside = Window.partitionBy("part").orderBy(*along)
+    after = placed.withColumn("after", F.lead(key).over(inside)).join(following, F.col("part") == F.col("of_part"))
+    nexts = F.coalesce("after", "following")
+    return after.select(*keys.columns, *[nexts[c].alias(f"next_{c}") for c in KEY])
 
 
 def compare_with_edits(docs: DataFrame, coordinates: int = COORDINATES) -> DataFrame:
     """Fingerprint every text and its edited text, the last quarter replaced by the beginning of the next text.
 
-    Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. A row without
+    an id comes before all others; rows that repeat an id and text have the next other row as successor.
+    Texts move once and the beginnings of the next ones, a quarter of them, once more; all joins that
+    follow are on the same key.
     """
     work = Workspace(docs.sparkSession, "fingerprints")
-    hashed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    unique = hashed.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    keys = hashed.select("doc_id", "text_hash", F.char_length("text").cast("bigint").alias("n_chars")).distinct()
+    texts = keyed(docs)
+    keys = texts.select("known", *KEY, F.char_length("text").alias("n_chars")).groupBy("known", *KEY, "n_chars").agg(F.count("*").alias("copies"))
+    texts = texts.select(*KEY, "text")
     order = work.table(neighbours(work, keys), "successors")
-
-    def same(a: str, b: str, c: str, d: str) -> Column:
-        return F.col(a).eqNullSafe(F.col(b)) & (F.col(c) == F.col(d))
-
     cut = F.floor(F.col("n_chars") / 4).cast("int")
-    asked = order.select(F.col("doc_id").alias("to_id"), F.col("text_hash").alias("to_hash"), "next_id", "next_hash", cut.alias("head_chars"))
-    heads = unique.join(asked, same("doc_id", "next_id", "text_hash", "next_hash")).select("to_id", "to_hash", F.substring("text", F.lit(1), F.col("head_chars")).alias("head"))
-    sized = unique.withColumn("n_chars", F.char_length("text"))
-    edited = sized.join(heads, same("doc_id", "to_id", "text_hash", "to_hash")).select(
-        "doc_id",
-        "text_hash",
-        "copies",
-        "n_chars",
-        F.array(
-            F.struct(F.lit(0).alias("edit"), F.col("text").alias("text")),
-            F.struct(
-                F.lit(1).alias("edit"),
-                F.concat(F.substring("text", F.lit(1), F.col("n_chars") - F.floor(F.col("n_chars") / 4).cast("int")), F.col("head")).alias("text"),
-            ),
-        ).alias("texts"),
+    asked = order.select(*[F.col(f"next_{c}").alias(c) for c in KEY], *[F.col(c).alias(f"to_{c}") for c in KEY], cut.alias("head_chars"))
+    heads = (
+        texts.join(asked, KEY)
+        .select(*[F.col(f"to_{c}").alias(c) for c in KEY], F.substring("text", F.lit(1), F.col("head_chars")).alias("head"))
+        .dropDuplicates(KEY)
     )
-    rows = edited.select("doc_id", "text_hash", F.explode("texts").alias("entry")).select("doc_id", "text_hash", "entry.edit", "entry.text")
-    prints = (
-        signatures(rows, ["doc_id", "text_hash", "edit"], coordinates)
-        .groupBy("doc_id", "text_hash")
-        .agg(
-            F.max(F.when(F.col("edit") == 0, printed(coordinates))).alias("fingerprint"),
-            F.max(F.when(F.col("edit") == 1, printed(coordinates))).alias("edited_fingerprint"),
+    stay = F.char_length("text") - F.floor(F.char_length("text") / 4).cast("int")
+    edited = (
+        texts.join(heads, KEY)
+        .select(*KEY, F.substring("text", F.lit(1), stay).alias("kept"), F.substring("text", stay + 1, F.char_length("text")).alias("tail"), "head")
+        .dropDuplicates(KEY)
+    )
+    # the sum goes along as numbers, which aggregate without sorting
+    sha = [F.conv(F.substring("sha", 13 * k + 1, 13), 16, 10).cast("bigint").alias(f"sha{k}") for k in range(5)]
+    cut_up = (
+        edited.select(
+            *KEY,
+            F.sha2(F.concat("kept", "head").cast("binary"), 256).alias("sha"),
+            F.regexp_extract("kept", rf"(?s)^.*{BLANK[:-1]}", 0).alias("shared"),
+            "kept",
+            "tail",
+            "head",
+        )
+        .select(*KEY, *sha, "shared", F.substring("kept", F.char_length("shared") + 1, F.char_length("kept")).alias("begun"), "tail", "head")
+        .select(
+            *KEY,
+            *[f"sha{k}" for k in range(5)],
+            F.explode(
+                F.array(
+                    F.struct(F.lit(SHARED).alias("side"), F.col("shared").alias("text")),
+                    F.struct(F.lit(FIRST).alias("side"), F.concat("begun", "tail").alias("text")),
+                    F.struct(F.lit(SECOND).alias("side"), F.concat("begun", "head").alias("text")),
+                )
+            ).alias("part"),
         )
     )
-    facts = edited.select("doc_id", "text_hash", "copies", "n_chars", F.sha2(F.col("texts")[1]["text"].cast("binary"), 256).alias("edited_sha256"))
-    both = facts.alias("f").join(prints.alias("p"), same("f.doc_id", "p.doc_id", "f.text_hash", "p.text_hash"), "left")
-    none = F.lit("0" * 8 * coordinates)
+    numbers = [f"sha{k}" for k in range(5)]
+    digits = F.concat(*[F.lpad(F.hex(c), n, "0") for c, n in zip(numbers, (13, 13, 13, 13, 12))])
     with _plain_code(docs.sparkSession):
+        signed = signatures(cut_up.select(*KEY, *numbers, "part.side", "part.text"), KEY, numbers, coordinates)
         known = work.table(
-            both.select(
-                "f.doc_id",
-                "f.text_hash",
-                "copies",
-                F.col("n_chars").cast("bigint").alias("n_chars"),
-                "edited_sha256",
-                F.coalesce("fingerprint", none).alias("fingerprint"),
-                F.coalesce("edited_fingerprint", none).alias("edited_fingerprint"),
-            ),
+            signed.select(*KEY, F.unhex(digits).alias("sha"), packed("a", coordinates).alias("fingerprint"), packed("b", coordinates).alias("edited_fingerprint")),
             "prints",
         )
-    others = known.select(F.col("doc_id").alias("o_id"), F.col("text_hash").alias("o_hash"), F.col("fingerprint").alias("next_fingerprint"))
-    next_of = order.select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"), "next_id", "next_hash")
-    paired = known.join(next_of, same("doc_id", "k_id", "text_hash", "k_hash")).join(others, same("next_id", "o_id", "next_hash", "o_hash"))
+    others = known.select(*[F.col(c).alias(f"next_{c}") for c in KEY], F.col("fingerprint").alias("next_fingerprint"))
+    paired = known.join(order, KEY).join(others, [f"next_{c}" for c in KEY])
     return paired.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
-        "doc_id",
-        "n_chars",
-        "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
+        F.when(F.col("known"), F.col("id")).alias("doc_id"),
+        F.col("n_chars").cast("bigint").alias("n_chars"),
+        F.lower(F.hex("sha")).alias("edited_sha256"),
+        F.lower(F.hex("fingerprint")).alias("fingerprint"),
+        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
         likeness("fingerprint", "edited_fingerprint", coordinates).alias("near_edited"),
         likeness("fingerprint", "next_fingerprint", coordinates).alias("near_next"),
     )
