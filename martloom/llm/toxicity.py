@@ -2,8 +2,8 @@
 
 P(grade >= k) = sigmoid(w.x - theta_k) with one weight vector for all thresholds theta_1 <= theta_2 <= ...; the
 expected severity is the sum of these probabilities. Features are the presence of words, chosen by how far
-their frequency in rows of grade 1 and more differs from that in rows of grade 0: by sqrt(2 ln n) standard
-errors or more, n the number of words compared, which chance alone hardly reaches for any of them.
+their frequency in rows of grade 1 and more differs from that in rows of grade 0: the signed root of the
+log-likelihood ratio is sqrt(2 ln n) or more, n the number of words compared, which chance hardly reaches for any.
 
 The model is fitted on at most `fit_rows` labelled documents, those whose ids hash lowest; the chosen labels
 are broadcast (bounded by `fit_rows`), so texts are never shuffled. Scoring reads whole texts in one pass.
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martloom.llm.support import Workspace, text_of
 
@@ -82,14 +82,22 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, grades: in
         base = float(np.log((1 - rate) / rate))
         return OrdinalModel({}, tuple(base + k for k in range(grades - 1)))
     in_bad, in_good = F.sum(F.when(F.col("flag") > 0, 1).otherwise(0)), F.sum(F.when(F.col("flag") <= 0, 1).otherwise(0))
-    rate_bad, rate_good = (F.col("b") + 0.5) / (bad + 1), (F.col("g") + 0.5) / (good + 1)
-    spread = F.sqrt(rate_bad * (1 - rate_bad) / bad + rate_good * (1 - rate_good) / good)
+    rate_bad, rate_good = F.col("b") / bad, F.col("g") / good
+
+    def agreement(n: Column, total: int, rate: Column) -> Column:
+        """n ln(n / expected) for presence and absence; 0 ln 0 is 0."""
+        there = F.when(n > 0, n * F.ln(n / (rate * total))).otherwise(0.0)
+        return there + F.when(n < total, (total - n) * F.ln((total - n) / ((1 - rate) * total))).otherwise(0.0)
+
+    rate = (F.col("b") + F.col("g")) / (bad + good)
+    ratio = F.greatest(2 * (agreement(F.col("b"), bad, rate) + agreement(F.col("g"), good, rate)), F.lit(0.0))
+    z = F.when(rate_bad > rate_good, F.sqrt(ratio)).otherwise(-F.sqrt(ratio))
     compared = work.table(
         rows.select("flag", F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(in_bad.alias("b"), in_good.alias("g"))
         .where(f"b + g >= {LEAST_ROWS}")
-        .select("term", ((rate_bad - rate_good) / spread).alias("z")),
+        .select("term", z.alias("z")),
         "words",
     )
     cut = float(np.sqrt(2 * np.log(max(compared.count(), 2))))
