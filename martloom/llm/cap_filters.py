@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame, functions as F
 from martloom.llm.support import Workspace, components
 
 BLOCKS = 3
-FILTERS_EACH = 60  # filters a vector falls into, on average
-FILLED = 16.0  # vectors in a filter, on average
+CODES = 4  # independent codes: a vector that one code serves badly meets its neighbours in another
+FILTERS_EACH = 100  # filters of a code that a vector falls into, on average
+FILLED = 2.0  # vectors in a filter, on average
 SEED = 11
 POSTING_ROW = "node bigint, filter bigint"
 
@@ -38,8 +39,8 @@ POSTING_ROW = "node bigint, filter bigint"
 class ProductCode:
     """Codebooks for one length of vectors."""
 
-    def __init__(self, size: int, words: int, threshold: float):
-        draw = np.random.default_rng(SEED)
+    def __init__(self, size: int, words: int, threshold: float, seed: int):
+        draw = np.random.default_rng(seed)
         self.turn = np.linalg.qr(draw.standard_normal((size, size)))[0]
         self.cuts = np.array_split(np.arange(size), BLOCKS)
         self.books = []
@@ -65,12 +66,13 @@ class ProductCode:
         return row, chosen
 
 
-def product_code(size: int, vectors: int) -> ProductCode:
+def product_codes(size: int, vectors: int) -> list[ProductCode]:
     """As many directions as keep filters at `FILLED` vectors, and the threshold that gives each vector
     `FILTERS_EACH` of them: for a random direction the product is close to normal, with variance 1 / size."""
     words = max(8, math.ceil((vectors * FILTERS_EACH / FILLED) ** (1 / BLOCKS)))
     share = min(0.5, FILTERS_EACH / words**BLOCKS)
-    return ProductCode(size, words, NormalDist().inv_cdf(1 - share) / math.sqrt(size))
+    threshold = NormalDist().inv_cdf(1 - share) / math.sqrt(size)
+    return [ProductCode(size, words, threshold, SEED + k) for k in range(CODES)]
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -100,7 +102,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     units = rows.where("unit is not null").select("name", "unit").dropDuplicates(["name"])
     classes = work.table(firsts.join(units, "name"), "units")
     sizes = {r["size"]: r["n"] for r in classes.groupBy(F.octet_length("unit").alias("size")).agg(F.count("*").alias("n")).collect()}
-    codes = {size: product_code(size // 8, n) for size, n in sizes.items()}
+    codes = {size: product_codes(size // 8, n) for size, n in sizes.items()}
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,9 +110,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
             raw = batch.column(1).to_pylist()
             for size in {len(x) for x in raw}:
                 at = np.flatnonzero([len(x) == size for x in raw])
-                row, chosen = codes[size].decode(np.stack([np.frombuffer(raw[k]) for k in at]))
-                # lengths have filters of their own
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[at][row]), pa.array(chosen * 65536 + size // 8 % 65536)], names=["node", "filter"])
+                vectors = np.stack([np.frombuffer(raw[k]) for k in at])
+                for k, code in enumerate(codes[size]):
+                    row, chosen = code.decode(vectors)
+                    # codes and lengths have filters of their own
+                    number = ((chosen * CODES + k) << 16) + size // 8 % 65536
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes[at][row]), pa.array(number)], names=["node", "filter"])
 
     postings = work.table(classes.select("node", "unit").mapInArrow(decode, POSTING_ROW), "postings")
     met = postings.select("filter", F.col("node").alias("a")).join(postings.select("filter", F.col("node").alias("b")), "filter")

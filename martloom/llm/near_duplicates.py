@@ -6,14 +6,16 @@ similarity is at least `percent`; links are confirmed on the full sets. The way
 1. Texts with the same set are one class, known by its smallest id; copies are never paired.
 2. Each class is posted under its (coordinate, value) pairs. Two signatures that agree in at least `MATCHES`
    coordinates share one of their first `COORDINATES - MATCHES + 1` pairs in any common order, so a class is
-   posted under that prefix only, rarest pairs first; the long lists of common pairs are skipped.
+   posted under that prefix only, rarest pairs first; the long lists of common pairs are skipped. Lists are kept
+   by size of set as well: sets that can be linked differ in size by less than one step, and each is posted
+   under its own step and the next, so they meet in one of the two.
 3. A list of a few classes gives all its pairs. A longer list is worked off by hubs: its smallest class is
    compared with every other, which is linear in the list. Classes linked to the hub are done with each other:
    they are in one component. Classes that are not go on to the next round as a list of their own, with twice
-   as many hubs; those which can still match something linked to a hub are paired with just that. The number
-   of differing coordinates is a metric, so only members whose distances to the hub differ by at most
-   `COORDINATES - MATCHES` can match. A list of like texts takes one round, a list of unlike ones as many as its
-   length can be halved.
+   as many hubs, unless links already found put all of it into one component; those of another component that
+   can still match something linked to a hub are paired with just that. The number of differing coordinates
+   is a metric, so only members whose distances to the hub differ by at most `COORDINATES - MATCHES` can match.
+   A list of like texts takes one round, a list of unlike ones as many as its length can be halved.
 4. Pairs are counted over all coordinates, those with `MATCHES` or more are confirmed on the sets, and links
    give components.
 
@@ -26,7 +28,9 @@ an id are linked like others, but an id is never null in a component that has on
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +40,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from martloom.llm.support import LOWER, Workspace, components, text_of
 
 COORDINATES = 64
-MATCHES = 36
+MATCHES = 38
 SHORT_LIST = 16  # lists up to here give all their pairs: at most half as many for each member
+SETS_HELD = 64 << 20  # bytes of texts and sets a task keeps while it compares
 SIGNED_ROW = "doc_id bigint, text_hash bigint, n_shingles bigint, class_high bigint, class_low bigint, signature array<int>"
 
 # Fixed by a rule: odd multipliers and offsets of the coordinates' hash functions.
@@ -96,7 +101,7 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def prefixes(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
+def prefixes(classes: DataFrame, percent: int, matches: int = MATCHES) -> DataFrame:
     """Postings (pair, node) of each class's prefix: its rarest pairs that other classes have too.
 
     Pairs that one class alone has come first in the order, so a class with enough of them needs no posting.
@@ -109,7 +114,11 @@ def prefixes(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
     ranked = postings.join(shared, "pair").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("frequency", "pair"))).alias("pairs"))
     # of COORDINATES pairs, those missing here are the class's own and stand before all others
     kept = F.slice("pairs", F.lit(1), F.greatest(F.lit(length) - (F.lit(COORDINATES) - F.size("pairs")), F.lit(0)))
-    listed = ranked.select("node", F.explode(kept).alias("p")).select("node", F.col("p.pair").alias("list"))
+    step = F.floor(F.ln("n_shingles") / F.lit(math.log(100 / percent) + 1e-9)).cast("bigint")
+    sized = ranked.join(classes.select("node", step.alias("step")), "node")
+    listed = sized.select("node", F.explode(kept).alias("p"), "step").select(
+        "node", F.explode(F.array(*[F.shiftleft(F.col("p.pair"), 8) + F.col("step") + k for k in (0, 1)])).alias("list")
+    )
     return listed.join(listed.groupBy("list").count().where("count > 1").select("list"), "list")
 
 
@@ -124,50 +133,59 @@ class _Search:
         self.work, self.classes, self.texts = work, classes, texts
         self.width, self.percent, self.matches = width, percent, matches
 
-    def counted(self, pairs: DataFrame) -> DataFrame:
-        """`pairs` (a, b) with the number of coordinates in which they agree."""
+    def verdicts(self, pairs: DataFrame) -> DataFrame:
+        """`pairs` (a, b) with the number of coordinates in which they agree, and whether they are linked: pairs
+        with enough of them are compared on their full sets."""
         left = self.classes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
         right = self.classes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-        return pairs.join(left, "a").join(right, "b").withColumn("agree", _agreeing("sa", "sb")).drop("sa", "sb")
-
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets are similar enough."""
+        counted = pairs.join(left, "a").join(right, "b").select("a", "b", _agreeing("sa", "sb").alias("agree"))
+        # only pairs above the match threshold fetch texts
+        asked = F.when(F.col("agree") >= self.matches, F.col("a")), F.when(F.col("agree") >= self.matches, F.col("b"))
+        texts = self.texts.select(F.col("node").alias("node_a"), F.col("text").alias("ta")), self.texts.select(F.col("node").alias("node_b"), F.col("text").alias("tb"))
+        with_texts = counted.join(texts[0], asked[0] == F.col("node_a"), "left").join(texts[1], asked[1] == F.col("node_b"), "left")
         width, percent = self.width, self.percent
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known: dict[bytes, np.ndarray] = {}
+            held = 0
 
             def of(text: bytes) -> np.ndarray:
+                nonlocal held
                 if text not in known:
-                    if len(known) > 64:
+                    held += 10 * len(text)
+                    if held > SETS_HELD:
                         known.clear()
+                        held = 10 * len(text)
                     known[text] = shingle_set(text, width)
                 return known[text]
 
+            def linked(x: bytes | None, y: bytes | None) -> bool:
+                if x is None or y is None:
+                    return False
+                one, two = of(x), of(y)
+                common = len(np.intersect1d(one, two, assume_unique=True))
+                return 100 * common >= percent * (len(one) + len(two) - common)
+
             for batch in batches:
-                keep = []
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                    one, two = of(x), of(y)
-                    common = len(np.intersect1d(one, two, assume_unique=True))
-                    keep.append(100 * common >= percent * (len(one) + len(two) - common))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                flags = [linked(x, y) for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(flags, pa.bool_())], names=["a", "b", "agree", "linked"])
 
-        left = self.texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-        right = self.texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(compare, "a bigint, b bigint")
+        return with_texts.select("a", "b", "agree", "ta", "tb").mapInArrow(compare, "a bigint, b bigint, agree int, linked boolean")
 
     def links(self, lists: DataFrame) -> DataFrame:
         """Links that connect whatever the lists (list, node) can connect."""
         work, far = self.work, COORDINATES - self.matches
-        links = work.table(self.classes.where("false").select(F.col("node").alias("a"), F.col("node").alias("b")), "links")
-        waiting = links
+        found = work.table(self.classes.where("false").select(F.col("node").alias("a"), F.col("node").alias("b")), "links")
+        waiting: list[DataFrame] = []
+        roots = None
+        lists = lists.withColumn("root", F.col("node"))
         hubs_each = 1
         while True:
-            sized = lists.groupBy("list").agg(F.min("node").alias("least"), F.count("*").alias("members")).where("members > 1")
-            members = work.table(lists.join(sized, "list"), "members")
+            sized = lists.groupBy("list").agg(F.min("node").alias("least"), F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
+            members = work.table(lists.join(sized.where("low < high").drop("low", "high"), "list"), "members")
             short = members.where(F.col("members") <= SHORT_LIST)
-            pairs = short.select("list", F.col("node").alias("a")).join(short.select("list", F.col("node").alias("b")), "list")
-            waiting = waiting.union(work.table(pairs.where("a < b").select("a", "b").distinct(), "short"))
+            ends = [short.select("list", F.col("node").alias(n), F.col("root").alias(f"r{n}")) for n in "ab"]
+            waiting.append(ends[0].join(ends[1], "list").where("a < b and ra <> rb").select("a", "b"))
             long = members.where(F.col("members") > SHORT_LIST)
             if long.isEmpty():
                 break
@@ -176,27 +194,40 @@ class _Search:
             else:
                 place = F.row_number().over(Window.partitionBy("list").orderBy("node"))
                 hubs = long.withColumn("place", place).where(F.col("place") <= hubs_each)
-            hubs = work.table(hubs.select("list", F.col("node").alias("hub")), "hubs")
-            against = long.join(hubs, "list").where("node <> hub").select("list", "hub", "node")
-            asked = against.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-            counted = work.table(self.counted(asked), "counted")
-            linked = work.table(self.confirmed(counted.where(F.col("agree") >= self.matches).select("a", "b")), "linked")
-            links = links.union(linked)
-            verdicts = counted.join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left").na.fill(False, ["linked"])
-            both = against.withColumns({"a": F.least("hub", "node"), "b": F.greatest("hub", "node")})
-            judged = work.table(both.join(verdicts, ["a", "b"]).select("list", "hub", "node", "agree", "linked"), "judged")
-            rest_of = judged.groupBy("list", "node").agg(F.max("linked").alias("linked"), F.max(F.when(F.col("linked"), F.struct("agree", "hub"))).alias("best"))
-            rest = rest_of.where("not linked").join(hubs, (rest_of["list"] == hubs["list"]) & (rest_of["node"] == hubs["hub"]), "left_anti").select("list", "node")
-            rest = work.table(rest, "rest")
-            # the rest against what is linked to a hub, as far as the metric lets them match
-            placed = rest_of.where("linked").select("list", F.col("best.hub").alias("hub"), F.col("node").alias("y"), F.col("best.agree").alias("y_agree"))
-            loose = judged.where(F.col("agree") >= COORDINATES - 2 * far).join(rest, ["list", "node"]).select("list", "hub", F.col("node").alias("x"), F.col("agree").alias("x_agree"))
+            hubs = hubs.select("list", F.col("node").alias("hub"))
+            against = long.select("list", "node").join(hubs, "list").where("node <> hub")
+            against = against.select("list", "hub", "node", F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+            verdicts = work.table(self.verdicts(against.select("a", "b").distinct()), "verdicts")
+            judged = work.table(against.join(verdicts, ["a", "b"]).select("list", "hub", "node", "agree", "linked"), "judged")
+            found = work.table(found.union(verdicts.where("linked").select("a", "b")), "found")
+            roots = work.table(components(work, found), "roots")
+            best = F.max(F.when(F.col("linked"), F.struct("agree", "hub")))
+            state = judged.groupBy("list", "node").agg(F.max("linked").alias("linked"), best.alias("best"))
+            # hubs have met all others, so the rest is what is neither linked nor a hub
+            used = judged.select("list", F.col("hub").alias("node")).distinct()
+            rest = state.where("not linked").select("list", "node").join(used, ["list", "node"], "left_anti")
+            rest = work.table(rest.join(roots, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root")), "rest")
+            # the rest against what is linked to a hub, and so of the hub's component, as far as the metric lets them match
+            placed = state.where("linked").select("list", F.col("best.hub").alias("hub"), F.col("node").alias("y"), F.col("best.agree").alias("y_agree"))
+            hub_roots = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+            loose = (
+                judged.where(F.col("agree") >= COORDINATES - 2 * far)
+                .join(rest, ["list", "node"])
+                .join(hub_roots, "hub")
+                .where("root <> hub_root")
+                .select("list", "hub", F.col("node").alias("x"), F.col("agree").alias("x_agree"))
+            )
             border = loose.join(placed, ["list", "hub"]).where(F.abs(F.col("x_agree") - F.col("y_agree")) <= far)
-            waiting = waiting.union(work.table(border.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "border"))
+            waiting.append(border.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
             lists = rest
             hubs_each *= 2
-        asked = work.table(self.counted(waiting.distinct()).where(F.col("agree") >= self.matches).select("a", "b"), "matches")
-        return links.union(self.confirmed(asked))
+        pairs = reduce(DataFrame.union, waiting).distinct()
+        if roots is not None:
+            for end in ("a", "b"):
+                known = roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
+                pairs = pairs.join(known, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
+            pairs = pairs.where("ra <> rb").select("a", "b")
+        return found.union(self.verdicts(pairs).where("linked").select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, matches: int = MATCHES) -> DataFrame:
@@ -204,16 +235,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, matches:
     work = Workspace(docs.sparkSession, "near-duplicates")
     rows = work.table(signed(docs, width), "signatures")
     name = ["class_high", "class_low"]
-    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "signature")
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "n_shingles", "signature")
     # a class is known by half of its name: were two to share it, they would be compared as one, and confirmed
     classes = work.table(
         rows.where("n_shingles > 0")
         .groupBy(*name)
         .agg(F.min(first).alias("first"))
-        .select(*name, F.col("class_high").alias("node"), "first.doc_id", "first.text_hash", "first.signature"),
+        .select(*name, F.col("class_high").alias("node"), "first.doc_id", "first.text_hash", "first.n_shingles", "first.signature"),
         "classes",
     )
-    lists = work.table(prefixes(classes, matches), "postings")
+    lists = work.table(prefixes(classes, percent, matches), "postings")
     active = lists.select("node").distinct().join(classes, "node").select("node", F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"))
     texts = _texts(docs).join(active, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")))
     texts = work.table(texts.select("node", "text"), "texts").dropDuplicates(["node"])

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -47,9 +48,6 @@ class CachedEncoder:
         elif ending and "Removed" in before and "Lowercase" in json.dumps(described.get("normalizer")):
             self.mode = UNSPACED
         size = self.tokenizer.get_vocab_size()
-        names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
-        self.widths = np.array([len(n) for n in names])
-        self.ends = np.array([bool(ending) and n.endswith(ending) for n in names])
         self.vocabulary = size
         self.cache: dict[str | bytes, bytes] = {}
 
@@ -78,9 +76,9 @@ class CachedEncoder:
         if self.mode == UNSPACED:
             raw = text.encode()
             return (raw if b"<|" in raw else raw.translate(LOWER)).split()
-        marked = text.replace("\n", " \n").split(" ")
-        if len(marked) != len(text.split()):  # runs of white space, or kinds other than blank and line feed
+        if text.replace("\n", " ").split(" ") != text.split():  # runs of white space, or other kinds of it
             return re.split(r"(?<=\S)(?=\s\S)", text) if text else []
+        marked = text.replace("\n", " \n").split(" ")
         return [marked[0], *(u if u[0] == "\n" else " " + u for u in marked[1:])]
 
     def _learn(self, units: set) -> None:
@@ -90,15 +88,14 @@ class CachedEncoder:
         tails = [u for u in new if len(u) > 1 and u[-1] in ".," and u[-2].isalpha()]
         cores = {u[:-1] for u in tails}
         cores.update(new.difference(tails), (".", ",") if tails else ())
-        plain, joined = [], []
+        plain, words = [], []
         for u in cores:
             if (u.encode() if raw else u) not in cache:
-                (joined if LATIN.fullmatch(u) and (raw or u[0] in " \n") else plain).append(u)
+                (words if LATIN.fullmatch(u) and (raw or u[0] in " \n") else plain).append(u)
         for start in range(0, len(plain), 1000):
             part = plain[start : start + 1000]
             self._keep(part, self._plain(part))
-        for start in range(0, len(joined), 5000):
-            self._learn_words(joined[start : start + 5000])
+        self._learn_words(words)
         for u in tails:
             key = u.encode() if raw else u
             cache[key] = cache[key[:-1]] + cache[key[-1:]]
@@ -107,19 +104,35 @@ class CachedEncoder:
         self.cache.update(zip([u.encode() for u in units] if self.mode == UNSPACED else units, ids))
 
     def _learn_words(self, words: list[str]) -> None:
-        """One call for many words: each is one pre-token, so the ids fall apart at known widths or word ends."""
-        glue = " " if self.mode == UNSPACED else ""
-        ids = np.array(self.tokenizer.encode(glue.join(words), add_special_tokens=False).ids, "<u4")
-        if self.mode == UNSPACED:
-            stops = np.flatnonzero(self.ends[ids]) + 1
-        else:
-            bytes_to = np.cumsum([len(w.encode()) for w in words])
-            stops = np.searchsorted(np.cumsum(self.widths[ids]), bytes_to) + 1
-        if len(stops) != len(words) or (len(stops) and stops[-1] != len(ids)):
-            self._keep(words, self._plain(words))
-            return
-        raw, stops = ids.tobytes(), [0, *(4 * stops).tolist()]
-        self._keep(words, [raw[a:b] for a, b in zip(stops, stops[1:])])
+        """Latin words, alone or after one blank or line feed: the pre-tokens are known, so they go to the
+        tokenizer's model directly."""
+        model = self.tokenizer.model.tokenize
+        learned = []
+        for word in words:
+            if self.mode == UNSPACED:
+                tokens = model(_printable(word.lower()))
+            elif word[0] == "\n":
+                tokens = model(_printable("\n")) + model(_printable(word[1:]))
+            else:
+                tokens = model(_printable(word))
+            learned.append(array("I", [t.id for t in tokens]).tobytes())
+        self._keep(words, learned)
+
+
+def _byte_names() -> dict[int, str]:
+    """How byte-level tokenizers write bytes: printable Latin-1 characters stand for themselves, the others for
+    characters from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
+BYTE_NAMES = _byte_names()
+
+
+def _printable(word: str) -> str:
+    """A word as the model of a byte-level tokenizer sees it."""
+    return word.encode().decode("latin-1").translate(BYTE_NAMES)
 
 
 @lru_cache(maxsize=2)
