@@ -171,7 +171,7 @@ def joined_spans(*columns: str) -> Column:
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The rows of `docs` with every span replaced by `mark`, and `n_chars` counted anew where it is there."""
     kept = docs.select(text_of().alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    found = scan(kept).withColumn("spans", F.array_sort(F.transform(F.concat("assign", "access", "hex", "random"), lambda s: F.struct(s["start"], s["end"]))))
+    found = scan(kept).withColumn("spans", F.array_sort(F.transform(F.concat("assign", "access", "hex", "random"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(done, span):
@@ -185,8 +185,7 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             .alias("out"),
         )
 
-    spans = F.transform("spans", lambda s: F.struct(s["col1"].alias("start"), s["col2"].alias("end")))
-    clean = F.aggregate(spans, start, step, lambda d: F.concat(d["out"], F.substring(F.col("text"), d["at"] + 1, F.length("text"))))
+    clean = F.aggregate("spans", start, step, lambda d: F.concat(d["out"], F.substring(F.col("text"), d["at"] + 1, F.length("text"))))
     text = F.when(F.size("spans") > 0, clean).otherwise(F.col("row.text"))
     fields = {"text": text}
     if "n_chars" in docs.columns:

@@ -10,7 +10,7 @@ are broadcast (bounded by `fit_rows`), so texts are never shuffled. Scoring read
 
 Nulls: a null text has no words and scores like any text without known words; labels without an id or a flag
 are left out; if a document has several labels the most severe counts. Repeated rows are scored each. Without
-labels of both kinds nothing is known to be toxic: every score is that of the base rate. Other columns are kept.
+labels of both kinds nothing is known to be toxic: every severity is next to 0. Other columns are kept.
 """
 
 from __future__ import annotations
@@ -78,9 +78,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, grades: in
     totals = {r["flag"]: r["n"] for r in rows.groupBy(F.least("flag", F.lit(1)).alias("flag")).agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
-        rate = (bad + 0.5) / (bad + good + 1)
-        base = float(np.log((1 - rate) / rate))
-        return OrdinalModel({}, tuple(base + k for k in range(grades - 1)))
+        return OrdinalModel({}, tuple(60.0 + k for k in range(grades - 1)))
     in_bad, in_good = F.sum(F.when(F.col("flag") > 0, 1).otherwise(0)), F.sum(F.when(F.col("flag") <= 0, 1).otherwise(0))
     rate_bad, rate_good = F.col("b") / bad, F.col("g") / good
 
