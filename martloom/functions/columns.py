@@ -1,6 +1,6 @@
 """Column expressions shared by the marts. All are built-in Spark expressions.
 
-Casts are `try_cast`: a malformed value becomes NULL instead of failing the job under ANSI mode.
+Casts of input are `try_cast`: a malformed value becomes NULL instead of failing the job under ANSI mode.
 
 Money is a DOUBLE in tables and whole cents (BIGINT) inside every sum. Long sums stay in primitive
 hash-aggregate buffers, are exact, and do not depend on the order rows arrive in; dividing the result
@@ -28,11 +28,14 @@ def as_int(c):
 
 
 def as_money(c):
-    return _col(c).try_cast("double")
+    """An amount; what is no finite number is malformed, so NULL, and rules see it as missing."""
+    amount = _col(c).try_cast("double")
+    return F.when(F.abs(amount) < float("inf"), amount)
 
 
 def cents(c):
-    return F.rint(_col(c) * 100).try_cast("bigint")
+    """Whole cents. Strict: an amount that does not fit stops the job rather than leave a sum without it."""
+    return F.rint(_col(c) * 100).cast("bigint")
 
 
 def from_cents(c):
@@ -52,6 +55,17 @@ def money_diff(a, b):
     return from_cents(cents(a) - cents(b))
 
 
+def exact_mean(c, factor: int = 1):
+    """Mean of a number that is not negative, times `factor`, rounded half up to two digits, as an aggregate.
+
+    Values count in whole millionths, so the result does not depend on the order rows arrive in.
+    """
+    value = F.rint(_col(c) * factor * 1_000_000).cast("decimal(38,0)")
+    twice, n = F.sum(value) * 2 + F.count(value) * 10_000, F.count(value)
+    unit = n * 20_000
+    return F.when(n > 0, ((twice - twice % unit) / unit).cast("double") / 100.0)
+
+
 def as_instant(c):
     """Zone-free timestamp from text, date or timestamp; NULL when it cannot be read."""
     return _col(c).try_cast("timestamp_ntz")

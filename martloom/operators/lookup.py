@@ -4,32 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after checking that the frame has at most `max_rows` rows; else leave the
-    join to Catalyst. The check reads no more than that many rows."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
 
 def enrich(
     facts: DataFrame,
     dimension: DataFrame,
     on: list[str],
     columns: list[str],
-    broadcast_dimension: bool = False,
 ) -> DataFrame:
     """Left join picked columns of a dimension that has one row per key.
 
-    Without the hint Catalyst broadcasts a side it measures as small. Otherwise both sides are
+    Catalyst broadcasts a side whose measured bytes are below its threshold. Otherwise both sides are
     shuffled on the key, and adaptive execution splits a fact partition that one hot key overfills.
     """
-    picked = dimension.select(*on, *columns)
-    if broadcast_dimension:
-        picked = broadcast_if_small(picked)
-    return facts.join(picked, on=on, how="left")
+    return facts.join(dimension.select(*on, *columns), on=on, how="left")
 
 
 def translate(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-_SLOTS = 10_000
+_DIGITS = 15  # hexadecimal digits of a digest that decide: 60 bits
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -19,5 +19,5 @@ def sample_by_key(df: DataFrame, key: str, fraction: float, salt: str = "") -> D
     choice depends on the key's digest only: no shuffle, and the same keys in every run.
     """
     digest = F.md5(F.concat(F.lit(salt), F.col(key).cast("string")))
-    slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % _SLOTS
-    return df.filter(slot < int(round(fraction * _SLOTS)))
+    place = F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("bigint")
+    return df.filter(place < int(fraction * 16**_DIGITS))

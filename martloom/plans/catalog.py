@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martloom.operators.quality import DROP, FAIL, WARN, as_drop_rules, enforce, violation_report
-from martloom.operators.sampling import sample_rows
+from martloom.operators.sampling import sample_by_key
 from martloom.plans import audits, conform, delivery, revenue, segments
 from martloom.plans.model import RetailModel
 from martloom.plans.rules import RULES
@@ -166,13 +166,12 @@ def _ingested(table: str) -> Query:
 
 
 def _lineage(m: RetailModel) -> DataFrame:
-    """Rows per landing folder, from the path each row came from."""
+    """Rows per landing folder of all sources, from the path each row came from."""
     spark = _spark(m)
-    names = ("raw_customers", "raw_sellers", "raw_products")
     folder = F.regexp_extract("source_file", r"/([a-z_]+)\.csv/", 1)
     frames = [
         read_source(spark, s, lineage=True).select(folder.alias("landed_as"), "ingestion_ts")
-        for s in _landed_csv(spark, m, *names)
+        for s in _landed_csv(spark, m)
     ]
     stacked = reduce(DataFrame.unionByName, frames)
     return stacked.groupBy("landed_as").agg(F.count("ingestion_ts").alias("row_count"))
@@ -188,9 +187,9 @@ def _folder(m: RetailModel) -> DataFrame:
 
 
 def _sample_sizes(m: RetailModel) -> DataFrame:
-    """Seeded row samples at the two benchmark fractions."""
+    """Orders kept at the two benchmark fractions, chosen by the digest of their ids."""
     frames = [
-        sample_rows(m.raw.raw_orders, fraction).agg(
+        sample_by_key(m.raw.raw_orders, "order_id", fraction).agg(
             F.lit(fraction).alias("fraction"), F.count(F.lit(1)).alias("row_count")
         )
         for fraction in (0.5, 0.1)
@@ -225,7 +224,7 @@ QUERIES: dict[str, Query] = {
     "payments_order_agg": _table("payments_order_agg"),
     "product_catalog": _table("product_catalog"),
     "order_items_revenue": _table("order_items_revenue"),
-    "order_items_revenue_broadcast": lambda m: RetailModel(m.raw, broadcast_dimensions=True).order_items_revenue,
+    "order_items_revenue_broadcast": _table("order_items_revenue"),  # Catalyst decides by bytes
     "items_per_order": _table("items_per_order"),
     "orders_revenue": _table("orders_revenue"),
     "orders_revenue_no_customers": lambda m: conform.orders_revenue(

@@ -102,13 +102,15 @@ def typed_items(raw_items: DataFrame) -> DataFrame:
 
 def priced_items(raw_items: DataFrame) -> DataFrame:
     """Items whose price and freight are known and not negative, with their sum."""
-    items = typed_items(raw_items).filter("price >= 0 AND freight_value >= 0")
+    # the first filter is on the columns as they are, so that it reaches the scan
+    given = raw_items.filter((F.col("price").try_cast("double") >= 0) & (F.col("freight_value").try_cast("double") >= 0))
+    items = typed_items(given).filter("price >= 0 AND freight_value >= 0")
     return items.withColumn("item_total_revenue", money_add("price", "freight_value"))
 
 
-def order_items_revenue(raw_items: DataFrame, catalog: DataFrame, broadcast_catalog: bool = False) -> DataFrame:
+def order_items_revenue(raw_items: DataFrame, catalog: DataFrame) -> DataFrame:
     """Priced items with their English category."""
-    joined = enrich(priced_items(raw_items), catalog, ["product_id"], ["product_category_en"], broadcast_catalog)
+    joined = enrich(priced_items(raw_items), catalog, ["product_id"], ["product_category_en"])
     return joined.select(
         "product_id",
         "order_id",

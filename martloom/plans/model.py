@@ -21,15 +21,14 @@ class RetailModel:
     between queries, publish the tables (`martloom.plans.publish`).
     """
 
-    def __init__(self, raw: RawTables, broadcast_dimensions: bool = False):
+    def __init__(self, raw: RawTables):
         self.raw = raw
-        self.broadcast_dimensions = broadcast_dimensions
 
     def sampled(self, fraction: float) -> RetailModel:
         """The model over a fraction of the orders, with their items and payments."""
         names = ("raw_orders", "raw_order_items", "raw_order_payments")
         picked = {name: sample_by_key(self.raw[name], "order_id", fraction) for name in names}
-        return RetailModel(self.raw.replacing(**picked), self.broadcast_dimensions)
+        return RetailModel(self.raw.replacing(**picked))
 
     @staticmethod
     def _checked(name: str, df: DataFrame) -> DataFrame:
@@ -58,7 +57,7 @@ class RetailModel:
 
     @cached_property
     def order_items_revenue(self) -> DataFrame:
-        items = conform.order_items_revenue(self.raw.raw_order_items, self.product_catalog, self.broadcast_dimensions)
+        items = conform.order_items_revenue(self.raw.raw_order_items, self.product_catalog)
         return self._checked("order_items_revenue", items)
 
     @cached_property

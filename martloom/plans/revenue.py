@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from martloom.functions import money_sum, pct_change, ratio
+from martloom.functions import exact_mean, money_sum, pct_change, ratio
 from martloom.operators.periods import with_period_change, with_rolling_sum
 from martloom.operators.ranking import with_dense_rank, with_share
 from martloom.operators.rollup import heaviest
@@ -176,7 +176,7 @@ def state_totals(by_state: DataFrame) -> DataFrame:
         .agg(
             money_sum("total_revenue").alias("total_revenue"),
             F.sum("total_orders").alias("total_orders"),
-            F.round(F.avg("aov"), 2).alias("avg_aov"),
+            exact_mean("aov").alias("avg_aov"),
         )
         .orderBy(F.desc("total_revenue"), "customer_state")
     )
@@ -188,8 +188,8 @@ def payment_totals(by_payment: DataFrame) -> DataFrame:
         .agg(
             money_sum("total_revenue").alias("total_revenue"),
             F.sum("total_orders").alias("total_orders"),
-            F.round(F.avg("avg_installments"), 2).alias("avg_installments"),
-            F.round(F.avg("share_of_month_revenue") * 100, 2).alias("avg_share_of_month_pct"),
+            exact_mean("avg_installments").alias("avg_installments"),
+            exact_mean("share_of_month_revenue", 100).alias("avg_share_of_month_pct"),
         )
         .orderBy(F.desc("total_revenue"), "primary_payment_type")
     )

@@ -53,7 +53,9 @@ def last_12m_orders(raw_orders: DataFrame, raw_items: DataFrame, raw_customers:
         "order_purchase_timestamp", as_instant("order_purchase_timestamp")
     )
     recent = trailing_months(typed, "order_purchase_timestamp", 12)
-    with_totals = enrich(recent, order_totals(raw_items), ["order_id"], ["total_price"])
+    # only items of these orders are summed and moved, not those of all years
+    items = raw_items.join(recent.select("order_id"), on="order_id", how="left_semi")
+    with_totals = enrich(recent, order_totals(items), ["order_id"], ["total_price"])
     return enrich(with_totals, raw_customers, ["customer_id"], ["customer_unique_id"])
 
 

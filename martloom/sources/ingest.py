@@ -1,6 +1,6 @@
 """Config-driven file ingest and the table sink.
 
-Everything stays lazy until the sink runs. The sink makes one pass: it writes the kept rows and,
+Everything stays lazy until the sink runs. The sink looks whether there is a row and makes one pass: it writes the kept rows and,
 through an `Observation` on the same job, counts the rows read and the violations of each rule.
 """
 
@@ -54,16 +54,19 @@ class LoadReport:
 def load_table(
     spark: SparkSession, source: FileSource, target: str, lineage: bool = False, fmt: str = "parquet"
 ) -> LoadReport:
-    """Read, check, drop and write one source in one pass; fail when nothing was delivered."""
+    """Read, check, drop and write one source; fail when nothing was delivered.
+
+    Emptiness is checked first, by reading one row, so that an empty delivery leaves the old table alone.
+    """
     rules = as_drop_rules(source.dq_rules)
+    arrived = read_source(spark, source, lineage)
+    if arrived.isEmpty():
+        raise EmptySourceError(f"{source.path} contains no records")
     watch = Observation()
-    rows = observe(read_source(spark, source, lineage), rules, watch)
+    rows = observe(arrived, rules, watch)
     write_table(enforce(rows, rules), target, mode=source.load_mode, fmt=fmt)
     seen = dict(watch.get)
-    total = seen.pop("rows_seen", 0)
-    if not total:
-        raise EmptySourceError(f"{source.path} contains no records")
-    return LoadReport(source.table_name, total, seen)
+    return LoadReport(source.table_name, seen.pop("rows_seen", 0), seen)
 
 
 def load_all(spark: SparkSession, sources: list[FileSource], target_dir: str) -> list[LoadReport]:

@@ -111,10 +111,13 @@ def _loaded(name: str) -> str:
     )
 
 
-def _sampled_monthly(slots: int) -> str:
-    """The monthly mart over the orders whose digest falls into the first slots."""
-    digest = "CAST('0x' || substr(md5(order_id), 1, 8) AS BIGINT)"
-    kept = f"(SELECT * FROM ord_rev WHERE {digest} % 10000 < {slots} AND is_revenue_recognised = 1)"
+def _digest_below(fraction: float) -> str:
+    return f"CAST('0x' || substr(md5(order_id), 1, 15) AS BIGINT) < {int(fraction * 16**15)}"
+
+
+def _sampled_monthly(fraction: float) -> str:
+    """The monthly mart over the orders whose digest falls into the first part of its range."""
+    kept = f"(SELECT * FROM ord_rev WHERE {_digest_below(fraction)} AND is_revenue_recognised = 1)"
     base = f"""(SELECT order_purchase_month, CAST(COUNT(*) AS BIGINT) AS total_orders, SUM(revenue_total) AS revenue
                 FROM {kept} WHERE order_purchase_month IS NOT NULL GROUP BY order_purchase_month)"""
     rolling = "CAST(SUM(b.revenue) OVER (ORDER BY b.order_purchase_month ROWS BETWEEN {} PRECEDING AND CURRENT ROW) AS DOUBLE)"
@@ -142,8 +145,14 @@ _LISTED = """SELECT order_purchase_month, total_orders, ROUND(total_revenue, 2)
        ROUND(revenue_rolling_3m, 2) AS revenue_rolling_3m, ROUND(revenue_rolling_6m, 2) AS revenue_rolling_6m
 FROM mart_monthly"""
 
-_STATE_TOTALS = """SELECT customer_state, ROUND(SUM(total_revenue), 2) AS total_revenue,
-       CAST(SUM(total_orders) AS BIGINT) AS total_orders, ROUND(AVG(aov), 2) AS avg_aov
+def _mean(value: str) -> str:
+    """A mean in whole millionths, rounded half up to two digits."""
+    total = f"SUM(CAST(round_even({value} * 1000000, 0) AS HUGEINT))"
+    return f"CAST((CAST({total} AS HUGEINT) * 2 + COUNT({value}) * 10000) // (COUNT({value}) * 20000) AS DOUBLE) / 100.0"
+
+
+_STATE_TOTALS = f"""SELECT customer_state, ROUND(SUM(total_revenue), 2) AS total_revenue,
+       CAST(SUM(total_orders) AS BIGINT) AS total_orders, {_mean("aov")} AS avg_aov
 FROM mart_state GROUP BY customer_state"""
 
 
@@ -255,11 +264,25 @@ QUERIES: dict[str, str] = {
     "ingest_multiline_csv": "SELECT * FROM raw_order_reviews",
     "ingest_lineage": " UNION ALL ".join(
         f"SELECT '{t}' AS landed_as, CAST(COUNT(*) AS BIGINT) AS row_count FROM {t}"
-        for t in ("raw_customers", "raw_sellers", "raw_products")
+        for t in (
+            "raw_customers",
+            "raw_geolocation",
+            "raw_order_items",
+            "raw_order_payments",
+            "raw_order_reviews",
+            "raw_orders",
+            "raw_products",
+            "raw_product_names_translation",
+            "raw_sellers",
+        )
     ),
     "ingest_folder_csv": "SELECT * FROM raw_sellers",
-    "sample_by_key_half": _sampled_monthly(5000),
-    "sample_by_key_tenth": _sampled_monthly(1000),
+    "sample_scaling": " UNION ALL ".join(
+        f"SELECT CAST({f} AS DOUBLE) AS fraction, CAST(COUNT(*) AS BIGINT) AS row_count FROM raw_orders WHERE {_digest_below(f)}"
+        for f in (0.5, 0.1)
+    ),
+    "sample_by_key_half": _sampled_monthly(0.5),
+    "sample_by_key_tenth": _sampled_monthly(0.1),
     "dq_warn_counts": " UNION ALL ".join(_rule(*r) for r in _RULES if r[3] == "warn"),
     "dq_report": " UNION ALL ".join(_rule(*r) for r in _RULES),
     "dq_drop": """SELECT order_id, payment_sequential, lower(trim(payment_type)) AS payment_type,
@@ -349,10 +372,10 @@ FROM mart_category GROUP BY product_category_en
 ORDER BY total_revenue DESC, product_category_en LIMIT 10""",
     "top_states": f"SELECT * FROM ({_STATE_TOTALS}) ORDER BY total_revenue DESC, customer_state LIMIT 10",
     "state_totals": _STATE_TOTALS,
-    "payment_totals": """
+    "payment_totals": f"""
 SELECT primary_payment_type, ROUND(SUM(total_revenue), 2) AS total_revenue,
-       CAST(SUM(total_orders) AS BIGINT) AS total_orders, ROUND(AVG(avg_installments), 2) AS avg_installments,
-       ROUND(AVG(share_of_month_revenue) * 100, 2) AS avg_share_of_month_pct
+       CAST(SUM(total_orders) AS BIGINT) AS total_orders, {_mean("avg_installments")} AS avg_installments,
+       {_mean("share_of_month_revenue * 100")} AS avg_share_of_month_pct
 FROM mart_payment GROUP BY primary_payment_type""",
     "delivery_buckets": """
 SELECT delivery_status_bucket, CAST(COUNT(*) AS BIGINT) AS orders FROM deliv GROUP BY delivery_status_bucket""",

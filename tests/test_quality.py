@@ -7,9 +7,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Observation, functions as F
 
 from martloom.operators.lookup import grain, orphans
+from martloom.functions import as_money, money_sum
 from martloom.operators.quality import DROP, FAIL, WARN, Expectation, as_drop_rules, enforce, observe, violation_report
 from martloom.plans import audits
 from martloom.plans.rules import RULES
+from martloom.operators.sampling import sample_by_key
 from martloom.session import scratch_dir
 from martloom.sources.ingest import (
     EmptySourceError,
@@ -133,6 +135,26 @@ def test_empty_source_fails(spark):
         load_table(spark, source, scratch_dir(spark, "bronze"))
 
 
+def test_empty_source_leaves_the_old_table(spark):
+    target = scratch_dir(spark, "bronze")
+    load_table(spark, text_source(spark, "t", "id,n\na,1\nb,2\nc,3", schema="id string, n int"), target)
+    with pytest.raises(EmptySourceError):
+        load_table(spark, text_source(spark, "t", "id,n", schema="id string, n int"), target)
+    assert spark.read.parquet(target).count() == 3
+
+
+def test_sample_of_a_small_fraction(spark):
+    kept = sample_by_key(spark.range(1_000_000), "id", 0.00004).count()
+    assert 20 <= kept <= 65
+
+
+def test_malformed_amounts_are_missing_and_huge_ones_stop_the_job(spark):
+    amounts = spark.createDataFrame([("NaN",), ("Infinity",), ("x",), ("5.0",)], "v string").select(as_money("v").alias("v"))
+    assert [r.v for r in amounts.collect()] == [None, None, None, 5.0]
+    with pytest.raises(Exception, match="OVERFLOW"):
+        spark.createDataFrame([(1e17,), (5.0,)], "v double").agg(money_sum("v")).collect()
+
+
 def test_load_mode_append(spark):
     source = text_source(spark, "t", "id,n\na,1", schema="id string, n int", load_mode="append")
     target = scratch_dir(spark, "bronze")
