@@ -4,8 +4,8 @@ Symbols are the `state_words` most frequent words, one class for all other words
 the class has the class's probability times its own share of it, by smoothed counts, where all unseen words
 are one type; so every text has an exact, proper likelihood.
 
-Counts of all words stay a distributed table. Only the `head_words` most frequent words of at most
-`LONGEST` bytes go to the workers (a bounded table); rarer words meet their counts in a join on the word.
+Counts of all words stay a distributed table. Only the most frequent words of at most `LONGEST` bytes,
+no more than `head_words` of them, go to the workers (a bounded table); rarer words meet their counts in a join on the word.
 Expected counts of an iteration are summed per partition, then by symbol; the driver gets one row for each
 symbol. Training cuts texts into segments of `SEGMENT` symbols; every symbol of the training texts counts.
 Scoring runs the scaled forward recursion over whole texts, however long.
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from martloom.llm.support import LOWER, Workspace, text_of
 
@@ -104,7 +104,12 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 def vocabulary(counts: DataFrame, n_ends: int, head_words: int = HEAD_WORDS, state_words: int = STATE_WORDS) -> Vocabulary:
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    head = counts.where(F.octet_length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(head_words).collect()
+    short = counts.where(F.octet_length("word") <= LONGEST)
+    # the least count that leaves no more than `head_words` words, from the number of words of each count
+    ranked = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    frequencies = short.groupBy("n").agg(F.count("*").alias("words")).withColumn("so_far", F.sum("words").over(ranked))
+    least = frequencies.where(F.col("so_far") <= head_words).agg(F.min("n")).first()[0]
+    head = sorted(short.where(F.col("n") >= least).collect(), key=lambda r: (-r["n"], bytes(r["word"]))) if least else []
     return Vocabulary(
         [bytes(r["word"]) for r in head],
         np.array([r["n"] for r in head], "i8"),
