@@ -186,9 +186,11 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         )
 
     clean = F.aggregate("spans", start, step, lambda d: F.concat(d["out"], F.substring(F.col("text"), d["at"] + 1, F.length("text"))))
-    text = F.when(F.size("spans") > 0, clean).otherwise(F.col("row.text"))
+    # in a step of its own, so that no later column sees the new text under the old name
+    found = found.select("row", "spans", clean.alias("cleaned"))
+    text = F.when(F.size("spans") > 0, F.col("cleaned")).otherwise(F.col("row.text"))
     fields = {"text": text}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        fields["n_chars"] = F.when(F.size("spans") > 0, F.char_length(text).cast(kind)).otherwise(F.col("row.n_chars"))
+        fields["n_chars"] = F.when(F.size("spans") > 0, F.char_length("cleaned").cast(kind)).otherwise(F.col("row.n_chars"))
     return found.select(*[fields[c].alias(c) if c in fields else F.col(f"row.`{c}`") for c in docs.columns])
