@@ -8,16 +8,17 @@ similarity is at least `percent`; links are confirmed on the full sets. The way
    coordinates share one of their first `COORDINATES - MATCHES + 1` pairs in any common order, so a class is
    posted under that prefix only, rarest pairs first; the long lists of common pairs are skipped. Lists are kept
    by size of set as well: sets that can be linked differ in size by less than one step, and each is posted
-   under its own step and the next, so they meet in one of the two.
+   under its own step and the next, so they meet in one of the two. Lists with the same members are one list.
 3. A list of a few classes gives all its pairs. A longer list is worked off by hubs: its smallest class is
    compared with every other, which is linear in the list. Classes linked to the hub are done with each other:
-   they are in one component. Classes that are not go on to the next round as a list of their own, with twice
-   as many hubs, unless links already found put all of it into one component; those of another component that
+   they are in one component. Classes that are not go on to the next round as a list of their own, with four
+   times as many hubs, unless links already found put all of it into one component; those of another component that
    can still match something linked to a hub are paired with just that. The number of differing coordinates
    is a metric, so only members whose distances to the hub differ by at most `COORDINATES - MATCHES` can match.
-   A list of like texts takes one round, a list of unlike ones as many as its length can be halved.
-4. Pairs are counted over all coordinates, those with `MATCHES` or more are confirmed on the sets, and links
-   give components.
+   A list of like texts takes one round, a list of unlike ones as many as its length can be divided by four.
+4. Every posting carries a sketch, four bits of each coordinate, so a pair's agreement is counted where its list
+   is joined and pairs below `MATCHES` never leave the join. Sketches agree wherever signatures do, so none is
+   lost. Pairs that stay are confirmed on the sets, and links give components.
 
 A pair at exactly 80 % has MATCHES or more equal coordinates with probability over 0.9999.
 
@@ -43,7 +44,9 @@ COORDINATES = 64
 MATCHES = 38
 SHORT_LIST = 16  # lists up to here give all their pairs: at most half as many for each member
 SETS_HELD = 64 << 20  # bytes of texts and sets a task keeps while it compares
-SIGNED_ROW = "doc_id bigint, text_hash bigint, n_shingles bigint, class_high bigint, class_low bigint, signature array<int>"
+SIGNED_ROW = "doc_id bigint, text_hash bigint, n_shingles bigint, class_high bigint, class_low bigint, signature array<int>, sketch struct<s0:bigint,s1:bigint,s2:bigint,s3:bigint>"
+SKETCH = ["s0", "s1", "s2", "s3"]  # 16 coordinates each
+LOW_BITS = 0x1111111111111111
 
 # Fixed by a rule: odd multipliers and offsets of the coordinates' hash functions.
 _DRAW = np.random.default_rng(7)
@@ -76,21 +79,31 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def sketch(values: np.ndarray) -> np.ndarray:
+    """The low four bits of all minima in four 64-bit integers."""
+    low = values.view(np.uint32).reshape(len(SKETCH), -1).astype(np.uint64) & np.uint64(15)
+    return (low << (np.arange(low.shape[1], dtype=np.uint64) * np.uint64(4))).sum(1, dtype=np.uint64).view(np.int64)
+
+
 def signed(docs: DataFrame, width: int) -> DataFrame:
-    """Per document the size of its set, a 128-bit name of the set and its signature."""
+    """Per document the size of its set, a 128-bit name of the set, its signature and its sketch."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, high, low, signatures = [], [], [], []
+            sizes, high, low, signatures, sketches = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 shingles = shingle_set(text, width)
                 name = xxhash.xxh3_128_digest(shingles.tobytes())
                 sizes.append(len(shingles))
                 high.append(int.from_bytes(name[:8], "big", signed=True))
                 low.append(int.from_bytes(name[8:], "big", signed=True))
-                signatures.append(signature(shingles) if len(shingles) else np.empty(0, np.int32))
+                values = signature(shingles)
+                signatures.append(values if len(shingles) else values[:0])
+                sketches.append(sketch(values))
             lists = pa.array(signatures, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), lists], names=[x.split()[0] for x in SIGNED_ROW.split(", ")])
+            parts = np.array(sketches, np.int64).reshape(-1, len(SKETCH))
+            packed = pa.StructArray.from_arrays([pa.array(parts[:, k]) for k in range(len(SKETCH))], SKETCH)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), lists, packed], names=[x.split()[0] for x in SIGNED_ROW.split(", ")])
 
     return _texts(docs).mapInArrow(sign, SIGNED_ROW)
 
@@ -102,7 +115,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def prefixes(classes: DataFrame, percent: int, matches: int = MATCHES) -> DataFrame:
-    """Postings (pair, node) of each class's prefix: its rarest pairs that other classes have too.
+    """Postings (list, node, sketch) of each class's prefix: its rarest pairs that other classes have too.
 
     Pairs that one class alone has come first in the order, so a class with enough of them needs no posting.
     """
@@ -115,34 +128,46 @@ def prefixes(classes: DataFrame, percent: int, matches: int = MATCHES) -> DataFr
     # of COORDINATES pairs, those missing here are the class's own and stand before all others
     kept = F.slice("pairs", F.lit(1), F.greatest(F.lit(length) - (F.lit(COORDINATES) - F.size("pairs")), F.lit(0)))
     step = F.floor(F.ln("n_shingles") / F.lit(math.log(100 / percent) + 1e-9)).cast("bigint")
-    sized = ranked.join(classes.select("node", step.alias("step")), "node")
-    listed = sized.select("node", F.explode(kept).alias("p"), "step").select(
-        "node", F.explode(F.array(*[F.shiftleft(F.col("p.pair"), 8) + F.col("step") + k for k in (0, 1)])).alias("list")
+    sized = ranked.join(classes.select("node", step.alias("step"), "sketch"), "node")
+    return sized.select("node", F.explode(kept).alias("p"), "step", "sketch").select(
+        "node", F.explode(F.array(*[F.shiftleft(F.col("p.pair"), 8) + F.col("step") + k for k in (0, 1)])).alias("list"), "sketch"
     )
-    return listed.join(listed.groupBy("list").count().where("count > 1").select("list"), "list")
+
+
+def distinct_lists(lists: DataFrame) -> DataFrame:
+    """The lists of two or more components, one of those with the same members: list, least, members."""
+    sized = lists.groupBy("list").agg(
+        F.min("node").alias("least"),
+        F.count("*").alias("members"),
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.bit_xor(F.xxhash64("node")).alias("x"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+    )
+    return sized.where("low < high").groupBy("least", "members", "x", "y").agg(F.min("list").alias("list")).drop("x", "y")
 
 
 def _agreeing(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    """In how many coordinates two sketches agree: no fewer than the signatures do."""
+    differing = F.lit(0)
+    for part in SKETCH:
+        bits = F.col(f"{a}.{part}").bitwiseXOR(F.col(f"{b}.{part}"))
+        any_bit = bits.bitwiseOR(F.shiftright(bits, 1)).bitwiseOR(F.shiftright(bits, 2)).bitwiseOR(F.shiftright(bits, 3))
+        differing = differing + F.bit_count(any_bit.bitwiseAND(F.lit(LOW_BITS)))
+    return F.lit(COORDINATES) - differing
 
 
 class _Search:
     """The lists of one run: what has been linked, and what is left to compare."""
 
-    def __init__(self, work: Workspace, classes: DataFrame, texts: DataFrame, width: int, percent: int, matches: int):
-        self.work, self.classes, self.texts = work, classes, texts
+    def __init__(self, work: Workspace, nodes: DataFrame, texts: DataFrame, width: int, percent: int, matches: int):
+        self.work, self.nodes, self.texts = work, nodes, texts
         self.width, self.percent, self.matches = width, percent, matches
 
-    def verdicts(self, pairs: DataFrame) -> DataFrame:
-        """`pairs` (a, b) with the number of coordinates in which they agree, and whether they are linked: pairs
-        with enough of them are compared on their full sets."""
-        left = self.classes.select(F.col("node").alias("a"), F.col("signature").alias("sa"))
-        right = self.classes.select(F.col("node").alias("b"), F.col("signature").alias("sb"))
-        counted = pairs.join(left, "a").join(right, "b").select("a", "b", _agreeing("sa", "sb").alias("agree"))
-        # only pairs above the match threshold fetch texts
-        asked = F.when(F.col("agree") >= self.matches, F.col("a")), F.when(F.col("agree") >= self.matches, F.col("b"))
-        texts = self.texts.select(F.col("node").alias("node_a"), F.col("text").alias("ta")), self.texts.select(F.col("node").alias("node_b"), F.col("text").alias("tb"))
-        with_texts = counted.join(texts[0], asked[0] == F.col("node_a"), "left").join(texts[1], asked[1] == F.col("node_b"), "left")
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The links among `pairs` (a, b), compared on their full sets."""
+        left = self.texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+        right = self.texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
         width, percent = self.width, self.percent
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,33 +184,34 @@ class _Search:
                     known[text] = shingle_set(text, width)
                 return known[text]
 
-            def linked(x: bytes | None, y: bytes | None) -> bool:
-                if x is None or y is None:
-                    return False
+            def linked(x: bytes, y: bytes) -> bool:
                 one, two = of(x), of(y)
+                if 100 * min(len(one), len(two)) < percent * max(len(one), len(two)):
+                    return False
                 common = len(np.intersect1d(one, two, assume_unique=True))
                 return 100 * common >= percent * (len(one) + len(two) - common)
 
             for batch in batches:
-                flags = [linked(x, y) for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(flags, pa.bool_())], names=["a", "b", "agree", "linked"])
+                flags = [linked(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+                yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(flags, pa.bool_()))
 
-        return with_texts.select("a", "b", "agree", "ta", "tb").mapInArrow(compare, "a bigint, b bigint, agree int, linked boolean")
+        return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(compare, "a bigint, b bigint")
 
     def links(self, lists: DataFrame) -> DataFrame:
-        """Links that connect whatever the lists (list, node) can connect."""
+        """Links that connect whatever the lists (list, node, sketch) can connect."""
         work, far = self.work, COORDINATES - self.matches
-        found = work.table(self.classes.where("false").select(F.col("node").alias("a"), F.col("node").alias("b")), "links")
+        found = work.table(self.nodes.where("false").select(F.col("node").alias("a"), F.col("node").alias("b")), "links")
         waiting: list[DataFrame] = []
         roots = None
         lists = lists.withColumn("root", F.col("node"))
         hubs_each = 1
         while True:
-            sized = lists.groupBy("list").agg(F.min("node").alias("least"), F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
-            members = work.table(lists.join(sized.where("low < high").drop("low", "high"), "list"), "members")
+            members = work.table(lists.join(distinct_lists(lists), "list"), "members")
             short = members.where(F.col("members") <= SHORT_LIST)
-            ends = [short.select("list", F.col("node").alias(n), F.col("root").alias(f"r{n}")) for n in "ab"]
-            waiting.append(ends[0].join(ends[1], "list").where("a < b and ra <> rb").select("a", "b"))
+            ends = [short.select("list", F.col("node").alias(n), F.col("root").alias(f"r{n}"), F.col("sketch").alias(f"s{n}")) for n in "ab"]
+            apart = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (_agreeing("sa", "sb") >= self.matches)
+            met = ends[0].join(ends[1].withColumnRenamed("list", "other"), (F.col("list") == F.col("other")) & apart)
+            waiting.append(work.table(met.select("a", "b").distinct(), "short"))
             long = members.where(F.col("members") > SHORT_LIST)
             if long.isEmpty():
                 break
@@ -194,40 +220,46 @@ class _Search:
             else:
                 place = F.row_number().over(Window.partitionBy("list").orderBy("node"))
                 hubs = long.withColumn("place", place).where(F.col("place") <= hubs_each)
-            hubs = hubs.select("list", F.col("node").alias("hub"))
-            against = long.select("list", "node").join(hubs, "list").where("node <> hub")
-            against = against.select("list", "hub", "node", F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-            verdicts = work.table(self.verdicts(against.select("a", "b").distinct()), "verdicts")
-            judged = work.table(against.join(verdicts, ["a", "b"]).select("list", "hub", "node", "agree", "linked"), "judged")
-            found = work.table(found.union(verdicts.where("linked").select("a", "b")), "found")
+            hubs = hubs.select("list", F.col("node").alias("hub"), F.col("sketch").alias("hub_sketch"))
+            against = long.select("list", "node", "sketch").join(hubs, "list").where("node <> hub")
+            ends = F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
+            against = work.table(against.select("list", "hub", "node", "sketch", *ends, _agreeing("sketch", "hub_sketch").alias("agree")), "against")
+            new = work.table(self.linked(against.where(F.col("agree") >= self.matches).select("a", "b").distinct()), "linked")
+            marked = new.withColumn("linked", F.lit(True))
+            judged = work.table(against.join(marked, ["a", "b"], "left").select("list", "hub", "node", "sketch", "agree", F.coalesce("linked", F.lit(False)).alias("linked")), "judged")
+            work.drop(against)
+            found = work.table(found.union(new), "found")
             roots = work.table(components(work, found), "roots")
             best = F.max(F.when(F.col("linked"), F.struct("agree", "hub")))
-            state = judged.groupBy("list", "node").agg(F.max("linked").alias("linked"), best.alias("best"))
+            state = judged.groupBy("list", "node").agg(F.max("linked").alias("linked"), best.alias("best"), F.first("sketch").alias("sketch"))
             # hubs have met all others, so the rest is what is neither linked nor a hub
             used = judged.select("list", F.col("hub").alias("node")).distinct()
-            rest = state.where("not linked").select("list", "node").join(used, ["list", "node"], "left_anti")
-            rest = work.table(rest.join(roots, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root")), "rest")
+            rest = state.where("not linked").select("list", "node", "sketch").join(used, ["list", "node"], "left_anti")
+            rest = work.table(rest.join(roots, "node", "left").select("list", "node", "sketch", F.coalesce("root", "node").alias("root")), "rest")
             # the rest against what is linked to a hub, and so of the hub's component, as far as the metric lets them match
-            placed = state.where("linked").select("list", F.col("best.hub").alias("hub"), F.col("node").alias("y"), F.col("best.agree").alias("y_agree"))
+            placed = state.where("linked").select("list", F.col("best.hub").alias("hub"), F.col("node").alias("y"), F.col("best.agree").alias("y_agree"), F.col("sketch").alias("sy"))
             hub_roots = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
             loose = (
                 judged.where(F.col("agree") >= COORDINATES - 2 * far)
+                .drop("sketch")
                 .join(rest, ["list", "node"])
                 .join(hub_roots, "hub")
                 .where("root <> hub_root")
-                .select("list", "hub", F.col("node").alias("x"), F.col("agree").alias("x_agree"))
+                .select(F.col("list").alias("x_list"), F.col("hub").alias("x_hub"), F.col("node").alias("x"), F.col("agree").alias("x_agree"), F.col("sketch").alias("sx"))
             )
-            border = loose.join(placed, ["list", "hub"]).where(F.abs(F.col("x_agree") - F.col("y_agree")) <= far)
-            waiting.append(border.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+            same = (F.col("list") == F.col("x_list")) & (F.col("hub") == F.col("x_hub"))
+            close = (F.abs(F.col("x_agree") - F.col("y_agree")) <= far) & (_agreeing("sx", "sy") >= self.matches)
+            border = loose.join(placed, same & close)
+            waiting.append(work.table(border.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "border"))
             lists = rest
-            hubs_each *= 2
+            hubs_each *= 4
         pairs = reduce(DataFrame.union, waiting).distinct()
         if roots is not None:
             for end in ("a", "b"):
                 known = roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
                 pairs = pairs.join(known, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
             pairs = pairs.where("ra <> rb").select("a", "b")
-        return found.union(self.verdicts(pairs).where("linked").select("a", "b"))
+        return found.union(self.linked(pairs))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, matches: int = MATCHES) -> DataFrame:
@@ -235,20 +267,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, matches:
     work = Workspace(docs.sparkSession, "near-duplicates")
     rows = work.table(signed(docs, width), "signatures")
     name = ["class_high", "class_low"]
-    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "n_shingles", "signature")
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "n_shingles", "signature", "sketch")
     # a class is known by half of its name: were two to share it, they would be compared as one, and confirmed
     classes = work.table(
         rows.where("n_shingles > 0")
         .groupBy(*name)
         .agg(F.min(first).alias("first"))
-        .select(*name, F.col("class_high").alias("node"), "first.doc_id", "first.text_hash", "first.n_shingles", "first.signature"),
+        .select(*name, F.col("class_high").alias("node"), "first.doc_id", "first.text_hash", "first.n_shingles", "first.signature", "first.sketch"),
         "classes",
     )
-    lists = work.table(prefixes(classes, percent, matches), "postings")
+    posted = prefixes(classes, percent, matches)
+    several = posted.withColumn("root", F.col("node"))
+    lists = work.table(posted.join(distinct_lists(several).select("list"), "list"), "postings")
     active = lists.select("node").distinct().join(classes, "node").select("node", F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"))
     texts = _texts(docs).join(active, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")))
     texts = work.table(texts.select("node", "text"), "texts").dropDuplicates(["node"])
-    search = _Search(work, classes.select("node", "signature"), texts, width, percent, matches)
+    search = _Search(work, classes.select("node"), texts, width, percent, matches)
     links = work.table(search.links(lists), "links")
     rooted = classes.select(*name, "node", "doc_id").join(components(work, links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
