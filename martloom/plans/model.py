@@ -193,4 +193,5 @@ class RetailModel:
 
     @cached_property
     def customer_segmentation(self) -> DataFrame:
-        return self._checked("customer_segmentation", segments.customer_segmentation(self.last_12m_orders))
+        known = self._checked("customer_volume_segment", self.last_12m_orders)
+        return self._checked("customer_segmentation", segments.customer_segmentation(known))
