@@ -8,8 +8,10 @@ blocks can add still reaches the threshold. Vectors meet in a join on filters, a
 verified by its cosine in double precision.
 
 The number of directions grows with the number of vectors, so filters stay as full as they are on small
-tables; the threshold follows from how many filters a vector shall fall into. Vectors are turned by a random
-rotation first, so that no block holds most of a vector. Equal vectors are one class and are counted, not paired.
+tables. The threshold comes from the exact tail of a coordinate on the sphere, and the filters of a vector grow
+in number as the chance to share one falls, so a pair at the wanted cosine shares as many on any table. Vectors
+are turned by a random rotation first, so that no block holds most of a vector. Equal vectors are one class and
+are counted, not paired.
 
 Null vectors, zero vectors, and vectors with null or non-finite components are linked with nothing. So are
 vectors of another length than most: a pair must have equal lengths. Labels and other columns are ignored.
@@ -20,7 +22,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,13 @@ from pyspark.sql import DataFrame, functions as F
 from martloom.llm.support import Workspace, components
 
 BLOCKS = 3
-CODES = 4  # independent codes: a vector that one code serves badly meets its neighbours in another
-FILTERS_EACH = 100  # filters of a code that a vector falls into, on average
-FILLED = 2.0  # vectors in a filter, on average
+CODES = 8  # independent codes: a vector that one code serves badly meets its neighbours in another
+SHARED_EACH = 8  # filters of a code that a pair at the wanted cosine shares, on average
+FILLED = 2.0  # vectors in a filter, on average, where the length of vectors allows it
+LEAST_SHARED = 0.25  # share of a vector's filters that such a pair has in common, at least
+SHORT, SHORT_SHARED = 12, 0.4  # vectors up to this length need wider caps: their blocks differ much in length
+STEPS = 4096  # of the numeric integrals
+PATHS = 1 << 22  # choices of words that are extended at once
 SEED = 11
 POSTING_ROW = "node bigint, filter bigint"
 
@@ -40,39 +45,85 @@ class ProductCode:
     """Codebooks for one length of vectors."""
 
     def __init__(self, size: int, words: int, threshold: float, seed: int):
+        blocks = blocks_of(size)
         draw = np.random.default_rng(seed)
         self.turn = np.linalg.qr(draw.standard_normal((size, size)))[0]
-        self.cuts = np.array_split(np.arange(size), BLOCKS)
+        self.cuts = np.array_split(np.arange(size), blocks)
         self.books = []
         for cut in self.cuts:
             book = draw.standard_normal((words, len(cut)))
-            self.books.append(book / np.linalg.norm(book, axis=1, keepdims=True) / math.sqrt(BLOCKS))
+            self.books.append(book / np.linalg.norm(book, axis=1, keepdims=True) / math.sqrt(blocks))
         self.words, self.threshold = words, threshold
 
-    def decode(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, filter) of all directions that the unit vectors exceed the threshold for."""
-        turned = vectors @ self.turn
-        gains = [turned[:, cut] @ book.T for cut, book in zip(self.cuts, self.books)]
-        best = [g.max(1) for g in gains]
-        row = np.arange(len(vectors))
-        chosen, total = np.zeros(len(vectors), np.int64), np.zeros(len(vectors))
-        for k, gain in enumerate(gains):
-            room = sum(best[k + 1 :], np.zeros(len(vectors)))
-            reach = total[:, None] + gain[row] + room[row][:, None] >= self.threshold
-            at, word = np.nonzero(reach)
-            total = total[at] + gain[row[at], word]
-            chosen = chosen[at] * self.words + word
-            row = row[at]
-        return row, chosen
-
-
-def product_codes(size: int, vectors: int) -> list[ProductCode]:
-    """As many directions as keep filters at `FILLED` vectors, and the threshold that gives each vector
-    `FILTERS_EACH` of them: for a random direction the product is close to normal, with variance 1 / size."""
-    words = max(8, math.ceil((vectors * FILTERS_EACH / FILLED) ** (1 / BLOCKS)))
-    share = min(0.5, FILTERS_EACH / words**BLOCKS)
-    threshold = NormalDist().inv_cdf(1 - share) / math.sqrt(size)
-    return [ProductCode(size, words, threshold, SEED + k) for k in range(CODES)]
+    def decode(self, vectors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, filter) of all directions that the unit vectors exceed the threshold for, in parts."""
+        part = max(1, PATHS // self.words)
+        for start in range(0, len(vectors), part):
+            turned = vectors[start : start + part] @ self.turn
+            gains = [turned[:, cut] @ book.T for cut, book in zip(self.cuts, self.books)]
+            best = [g.max(1) for g in gains]
+            rooms = [sum(best[k + 1 :], np.zeros(len(turned))) for k in range(len(gains))]
+            none = np.zeros(len(turned))
+            for row, chosen in self._extend(gains, rooms, 0, np.arange(len(turned)), none.astype(np.int64), none):
+                yield row + start, chosen
+
+    def _extend(self, gains: list, rooms: list, k: int, row: np.ndarray, chosen: np.ndarray, total: np.ndarray) -> Iterator:
+        """Extend choices by the words of block `k`; a bounded number at once, so that memory is."""
+        if k == len(gains):
+            yield row, chosen
+            return
+        part = max(1, PATHS // self.words)
+        for start in range(0, len(row), part):
+            here = slice(start, start + part)
+            least = self.threshold - total[here] - rooms[k][row[here]]
+            at, word = np.nonzero(gains[k][row[here]] >= least[:, None])
+            yield from self._extend(gains, rooms, k + 1, row[here][at], chosen[here][at] * self.words + word, total[here][at] + gains[k][row[here][at], word])
+
+
+def blocks_of(size: int) -> int:
+    """Short vectors are cut into fewer blocks, as blocks of few components differ much in length."""
+    return 1 if size <= SHORT // 2 else min(2, BLOCKS) if size <= SHORT else BLOCKS
+
+
+def tail(size: int, least: np.ndarray | float) -> np.ndarray:
+    """Share of the unit vectors of a length whose first component is `least` or more."""
+    if size < 2:
+        return np.select([np.less_equal(least, -1), np.less_equal(least, 1)], [1.0, 0.5], 0.0)
+    angles = (np.arange(STEPS) + 0.5) * math.pi / STEPS
+    weights = np.sin(angles) ** (size - 2)
+    edges = np.linspace(0, math.pi, STEPS + 1)
+    below = np.concatenate([[0.0], np.cumsum(weights)])
+    return np.interp(np.arccos(np.clip(least, -1, 1)), edges, below / below[-1])
+
+
+def common(size: int, threshold: float, cosine: float) -> float:
+    """How often a direction that exceeds the threshold for a vector does so for another at that cosine."""
+    widest = math.acos(threshold)
+    angles = (np.arange(STEPS) + 0.5) * widest / STEPS
+    weights = np.sin(angles) ** (size - 2)
+    along, across = np.cos(angles), np.sin(angles)
+    rest = (threshold - cosine * along) / (math.sqrt(1 - cosine * cosine) * across)
+    return float(weights @ tail(size - 1, rest) / weights.sum())
+
+
+def product_codes(size: int, vectors: int, cosine: float = 0.95) -> list[ProductCode]:
+    """As many directions as keep filters at `FILLED` vectors and let a pair at `cosine` share `SHARED_EACH` of a code.
+
+    Caps hold `FILLED` of the vectors. Where such caps are so narrow that the pair would hardly ever share one
+    (short vectors, very large tables), they are as wide as `LEAST_SHARED` needs, and hold more.
+    """
+    cosine = min(cosine, 1 - 1e-9)
+    if size < 2 or cosine <= -1:
+        return [ProductCode(size, 2, -1.0, SEED)]  # all vectors meet
+    shared = SHORT_SHARED if size <= SHORT else LEAST_SHARED
+    low, high = -1.0 + 1e-9, 1.0 - 1e-9
+    for _ in range(60):
+        threshold = (low + high) / 2
+        narrow = tail(size, threshold) < min(0.5, FILLED / max(vectors, 1)) or common(size, threshold, cosine) < shared
+        low, high = (low, threshold) if narrow else (threshold, high)
+    each = SHARED_EACH / common(size, low, cosine)
+    words = max(8, math.ceil((each / float(tail(size, low))) ** (1 / blocks_of(size))))
+    return [ProductCode(size, words, low, SEED + k) for k in range(CODES)]
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -102,7 +153,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     units = rows.where("unit is not null").select("name", "unit").dropDuplicates(["name"])
     classes = work.table(firsts.join(units, "name"), "units")
     sizes = {r["size"]: r["n"] for r in classes.groupBy(F.octet_length("unit").alias("size")).agg(F.count("*").alias("n")).collect()}
-    codes = {size: product_codes(size // 8, n) for size, n in sizes.items()}
+    codes = {size: product_codes(size // 8, n, cosine) for size, n in sizes.items()}
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,10 +163,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
                 at = np.flatnonzero([len(x) == size for x in raw])
                 vectors = np.stack([np.frombuffer(raw[k]) for k in at])
                 for k, code in enumerate(codes[size]):
-                    row, chosen = code.decode(vectors)
-                    # codes and lengths have filters of their own
-                    number = ((chosen * CODES + k) << 16) + size // 8 % 65536
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes[at][row]), pa.array(number)], names=["node", "filter"])
+                    for row, chosen in code.decode(vectors):
+                        # codes and lengths have filters of their own
+                        number = ((chosen * CODES + k) << 16) + size // 8 % 65536
+                        yield pa.RecordBatch.from_arrays([pa.array(nodes[at][row]), pa.array(number)], names=["node", "filter"])
 
     postings = work.table(classes.select("node", "unit").mapInArrow(decode, POSTING_ROW), "postings")
     met = postings.select("filter", F.col("node").alias("a")).join(postings.select("filter", F.col("node").alias("b")), "filter")

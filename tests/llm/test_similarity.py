@@ -1,10 +1,12 @@
 """Fingerprints, near-duplicate texts and vectors against exhaustive comparison."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from martloom.llm import cap_filters, fingerprints, near_duplicates
@@ -165,3 +167,20 @@ def test_cap_filter_recall(spark):
     exact = sum(int((x[k : k + 1000] @ x.T >= 0.95).sum()) for k in range(0, len(x), 1000)) - len(x)
     got = cap_filters.near_duplicates(table).agg(F.sum("n_links")).first()[0]
     assert got <= exact and got >= 0.99 * exact
+
+
+@pytest.mark.parametrize("size", [2, 3, 8, 32, 64])
+@pytest.mark.parametrize("count", [10**5, 10**6])
+def test_cap_filter_recall_on_large_tables(size, count):
+    # whether a pair meets depends on the pair and on the codes for the number of vectors, not on the others
+    draw = np.random.default_rng(size)
+    x, w = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in draw.standard_normal((2, 200, size)))
+    w -= (w * x).sum(1, keepdims=True) * x
+    y = 0.955 * x + math.sqrt(1 - 0.955**2) * w / np.linalg.norm(w, axis=1, keepdims=True)
+    shared = np.zeros(200)
+    for code in cap_filters.product_codes(size, count):
+        found = [{f for rows, chosen in code.decode(v) for f in zip(rows.tolist(), chosen.tolist())} for v in (x, y)]
+        for row, _ in found[0] & found[1]:
+            shared[row] += 1
+    assert (shared > 0).mean() >= 0.99
+    assert shared.mean() > 0.75 * cap_filters.CODES * cap_filters.SHARED_EACH
