@@ -35,3 +35,19 @@ SELECT doc_id, size, source_size, target,
             + least(greatest(CAST(round(target) AS BIGINT) - before - source_size, 0), size) AS BIGINT) AS taken
 FROM queue JOIN goals ON queue.source IS NOT DISTINCT FROM goals.source
 """
+
+LINE_DEDUP = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS place FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+holders AS (SELECT key, min(doc_id) AS first_doc FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING min(doc_id) < max(doc_id)),
+judged AS (
+  SELECT k.doc_id, k.place, k.line, coalesce(k.doc_id <> h.first_doc, FALSE) AS dropped
+  FROM keyed k LEFT JOIN holders h ON k.key = h.key)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
