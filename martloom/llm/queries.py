@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.llm import cap_filters, fingerprints, hmm, line_dedup, mixing, near_duplicates, packing, secret_scan, sharding, token_files, toxicity
+from martloom.llm import cap_filters, conversation_repair, fingerprints, hmm, line_dedup, mixing, near_duplicates, packing, secret_scan, sharding, token_files, toxicity, whitening
 from martloom.llm.sql import FAIR_MIX, LINE_DEDUP
 from martloom.llm.support import Workspace, prepared, text_of
 from martloom.llm.tokens import public_path
@@ -77,10 +77,19 @@ def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_path("word_bpe_49k.json"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.summaries(conversation_repair.damaged(conversations), conversations)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_toxicity": op2_toxicity,
@@ -92,7 +101,9 @@ QUERIES = {
     "op8_markov_secrets": op8_markov_secrets,
     "op9_cap_filters": op9_cap_filters,
     "op10_best_fit": op10_best_fit,
+    "op11_whitening": op11_whitening,
     "op12_line_dedup": op12_line_dedup,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL = {"op5_fair_mix": FAIR_MIX, "op12_line_dedup": LINE_DEDUP}
