@@ -71,6 +71,11 @@ def as_instant(c):
     return _col(c).try_cast("timestamp_ntz")
 
 
+def snapshot(as_of: str | None = None):
+    """When the figures were made: now, or a given zone-free instant, so that two runs can be compared."""
+    return as_instant(F.lit(as_of)) if as_of else F.current_timestamp()
+
+
 def clean_lower(c):
     return F.lower(F.trim(_col(c)))
 

@@ -10,13 +10,37 @@ def enrich(
     dimension: DataFrame,
     on: list[str],
     columns: list[str],
+    broadcast_below: int | None = None,
 ) -> DataFrame:
     """Left join picked columns of a dimension that has one row per key.
 
     Catalyst broadcasts a side whose measured bytes are below its threshold. Otherwise both sides are
     shuffled on the key, and adaptive execution splits a fact partition that one hot key overfills.
+    With `broadcast_below` the dimension gets a broadcast hint if the plan knows it to be smaller than that
+    many bytes, whatever the session's threshold.
     """
-    return facts.join(dimension.select(*on, *columns), on=on, how="left")
+    picked = dimension.select(*on, *columns)
+    if broadcast_below is not None:
+        picked = broadcast_if_below(picked, broadcast_below)
+    return facts.join(picked, on=on, how="left")
+
+
+# A hash table of rows takes more room than the same rows in compressed files.
+GROWTH_IN_MEMORY = 4
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """Bytes of a frame as the optimizer estimates them from file sizes and statistics. No job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_below(df: DataFrame, limit: int) -> DataFrame:
+    """The frame with a broadcast hint if its estimate, grown to what it takes in memory, is below `limit` bytes.
+
+    Estimates of joins and of data without statistics are far above the truth, never far below, so
+    what is hinted is small; what is not hinted is joined as Catalyst sees fit, by shuffles if need be.
+    """
+    return F.broadcast(df) if planned_bytes(df) * GROWTH_IN_MEMORY < limit else df
 
 
 def translate(

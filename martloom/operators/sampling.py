@@ -16,8 +16,10 @@ def sample_by_key(df: DataFrame, key: str, fraction: float, salt: str = "") -> D
     """Keep all rows of a fixed fraction of keys.
 
     Tables sampled on the same key keep their pairing, which independent row samples break. The
-    choice depends on the key's digest only: no shuffle, and the same keys in every run.
+    choice depends on the key's digest only: no shuffle, and the same keys in every run. Digests of one
+    length compare as text as they do as numbers.
     """
-    digest = F.md5(F.concat(F.lit(salt), F.col(key).cast("string")))
-    place = F.conv(F.substring(digest, 1, _DIGITS), 16, 10).cast("bigint")
-    return df.filter(place < int(fraction * 16**_DIGITS))
+    if fraction >= 1:
+        return df.filter(F.col(key).isNotNull())
+    digest = F.md5(F.concat(F.lit(salt), F.col(key).cast("string")).cast("binary"))
+    return df.filter(F.substring(digest, 1, _DIGITS) < f"{int(fraction * 16**_DIGITS):0{_DIGITS}x}")

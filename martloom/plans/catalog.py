@@ -5,19 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martloom.operators.quality import DROP, FAIL, WARN, as_drop_rules, enforce, violation_report
+from martloom.functions import money_sum
+from martloom.operators import sketches
+from martloom.operators.quality import DROP, FAIL, WARN, Expectation, enforce, violation_report
 from martloom.operators.sampling import sample_by_key
 from martloom.plans import audits, conform, delivery, revenue, segments
 from martloom.plans.model import RetailModel
+from martloom.plans.publish import CONFORMED, MARTS, gate, invariant_report, publish, stored_counts
 from martloom.plans.rules import RULES
+from martloom.plans.stages import STAGES
 from martloom.session import scratch_dir
-from martloom.sources.ingest import load_all, read_folder, read_source, read_tables, write_csv
-from martloom.sources.schemas import RAW_RULES, FileSource, default_config, sources_from_config
+from martloom.sources.ingest import load_all, read_folder, read_source, read_tables, write_csv, write_table
+from martloom.sources.schemas import FileSource, default_config, sources_from_config
+from martloom.sources.store import AuditError, open_folder
 
+AS_OF = "2024-01-01 00:00:00"
 Query = Callable[[RetailModel], DataFrame]
 
+BROADCAST_BELOW = 64 << 20  # bytes in memory up to which the product catalog is hinted
+
 _SHARES = {
     "revenue_by_category_month": "revenue_share_of_month",
     "revenue_by_state_month": "revenue_share_of_month",
@@ -50,6 +59,7 @@ _MART_TABLES = (
     "delivery_hotspots",
     "customer_segmentation",
 )
+_STORED_TABLES = tuple(name for name in CONFORMED + MARTS if name in _MART_TABLES)
 
 
 def _table(name: str) -> Query:
@@ -59,39 +69,34 @@ def _table(name: str) -> Query:
 # --- quality ------------------------------------------------------------------------------------
 
 
-def unfiltered_inputs(m: RetailModel) -> dict[str, DataFrame]:
-    """What each rule set is measured on: the rows before cleaning removes the offenders."""
-    raw = m.raw
-    items = conform.enrich(
-        conform.typed_items(raw.raw_order_items), m.product_catalog, ["product_id"], ["product_category_en"]
-    )
-    return {
-        "payments_clean": conform.typed_payments(raw.raw_order_payments),
-        "product_catalog": m.product_catalog,
-        "order_items_revenue": items,
-        "orders_revenue": m.orders_revenue,
-        "geo_zip_prefix": conform.typed_geolocation(raw.raw_geolocation),
-        "delivery_order": conform.standard_orders(raw.raw_orders),
-    }
-
-
 def _reports(m: RetailModel, *actions: str) -> DataFrame:
+    """Passes and violations of every rule on the rows its table is made of, before cleaning removes offenders."""
     frames = [
-        violation_report(df, [r for r in RULES[name] if r.action in actions], name)
-        for name, df in unfiltered_inputs(m).items()
-        if any(r.action in actions for r in RULES[name])
+        violation_report(STAGES[name].rows(m), [r for r in rules if r.action in actions], name)
+        for name, rules in RULES.items()
+        if any(r.action in actions for r in rules)
     ]
     return reduce(DataFrame.unionByName, frames)
 
 
+def _publish_report(m: RetailModel) -> DataFrame:
+    """The same figures, counted while the tables are written."""
+    spark = _spark(m)
+    lines = [
+        (report.table, rule.name, rule.action, report.rows_seen - report.violations[rule.name], report.violations[rule.name])
+        for report in publish(m, scratch_dir(spark, "published"), CONFORMED + MARTS)
+        for rule in RULES.get(report.table, ())
+    ]
+    return spark.createDataFrame(lines, "table_name string, rule_name string, action string, passed bigint, violations bigint")
+
+
 def _dropped_customers(m: RetailModel) -> DataFrame:
-    return enforce(m.raw.raw_customers, as_drop_rules(RAW_RULES["raw_customers"]))
+    return m.raw.raw_customers
 
 
 def _count_audit(m: RetailModel) -> DataFrame:
     """Delivered rows against the rows the source rules let through."""
-    landed = {name: enforce(df, as_drop_rules(RAW_RULES[name])) for name, df in m.raw.items()}
-    return audits.row_count_audit(audits.row_counts(landed), audits.row_counts(m.raw))
+    return audits.row_count_audit(audits.row_counts(m.raw), audits.row_counts(m.landed))
 
 
 def _grains(m: RetailModel) -> DataFrame:
@@ -109,18 +114,11 @@ def _grains(m: RetailModel) -> DataFrame:
     )
 
 
-def _invariants(m: RetailModel) -> DataFrame:
-    return audits.invariants(
-        m.payments_clean,
-        m.payments_order_agg,
-        m.orders_revenue,
-        m.raw.raw_orders,
-        m.order_items_revenue,
-        m.revenue_by_category_month,
-        m.revenue_by_state_month,
-        m.revenue_by_payment_type_month,
-        m.revenue_exec_summary,
-    )
+def _stored_counts(m: RetailModel) -> DataFrame:
+    """Write the tables, then count them by their files' footers."""
+    target = scratch_dir(_spark(m), "published")
+    publish(m, target, _STORED_TABLES)
+    return stored_counts(_spark(m), target, _STORED_TABLES)
 
 
 # --- ingest -------------------------------------------------------------------------------------
@@ -129,14 +127,14 @@ def _invariants(m: RetailModel) -> DataFrame:
 def _landed_csv(spark: SparkSession, m: RetailModel, *names: str) -> list[FileSource]:
     """The source tables written out as CSV files, and their configuration."""
     folder = scratch_dir(spark, "csv")
-    chosen = [s for s in sources_from_config(default_config(folder)) if s.table_name in (names or m.raw)]
+    chosen = [s for s in sources_from_config(default_config(folder)) if s.table_name in (names or m.landed)]
     for source in chosen:
-        write_csv(m.raw[source.table_name], source.path, source)
+        write_csv(m.landed[source.table_name], source.path, source)
     return chosen
 
 
 def _spark(m: RetailModel) -> SparkSession:
-    return m.raw.raw_orders.sparkSession
+    return m.landed.raw_orders.sparkSession
 
 
 def _loaded_counts(m: RetailModel) -> DataFrame:
@@ -178,9 +176,84 @@ def _lineage(m: RetailModel) -> DataFrame:
 
 
 def _folder(m: RetailModel) -> DataFrame:
+    """All nine landed sources as one frame, columns matched by the files' headers."""
+    spark = _spark(m)
+    sources = _landed_csv(spark, m)
+    quoted = [s for s in sources if s.multiLine]
+
+    def options(header: tuple[str, ...]) -> dict:
+        """Text with line ends needs whole files; they are told by their columns."""
+        return next((s.reader_options() for s in quoted if header[0] == s.schema.split()[0]), {})
+
+    folder = sources[0].path.rpartition("/")[0]
+    return read_folder(spark, folder, options_for=options, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def _overwrites(m: RetailModel) -> DataFrame:
+    """Rows of a stored table after its first write, a write that a rule stops half-way, one that an audit refuses, and a good one."""
     spark = _spark(m)
-    (source,) = _landed_csv(spark, m, "raw_sellers")
-    return read_folder(spark, source.path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    target = f"{scratch_dir(spark, 'overwritten')}/payments"
+    payments, steps = m.payments_clean, []
+
+    def after(step: str, write: Callable[[], None], refused: type[Exception] | None = None) -> None:
+        if refused is None:
+            write()
+        else:
+            try:
+                write()
+            except refused:
+                pass
+            else:
+                raise AssertionError(f"{step} was not refused")
+        rows = open_folder(spark, target).agg(F.count(F.lit(1)).alias("row_count"), money_sum("payment_value").alias("total_value"))
+        kept = scratch_dir(spark, "steps")
+        rows.withColumn("step", F.lit(step)).write.parquet(kept)
+        steps.append(spark.read.parquet(kept))
+
+    def none_left(staged: DataFrame) -> None:
+        raise AuditError(f"{staged.count()} rows are too many")
+
+    last = Expectation("not_the_last", "payment_sequential < 7", FAIL)
+    after("first", lambda: write_table(payments, target))
+    after("stopped_by_rule", lambda: write_table(enforce(payments, [last]), target), PySparkException)
+    after("refused_by_audit", lambda: write_table(payments.limit(5), target, audits=(none_left,)), AuditError)
+    after("from_itself", lambda: write_table(spark.read.parquet(target).filter("payment_sequential = 1"), target))
+    return reduce(DataFrame.unionByName, steps)
+
+
+# --- sketches -----------------------------------------------------------------------------------
+
+
+def _customers_by_year(m: RetailModel) -> DataFrame:
+    """Customers per state and year from stored monthly sketches, beside the exact count."""
+    spark, keys = _spark(m), ["customer_state", "order_purchase_year"]
+    orders = revenue.recognised(m.orders_revenue).filter("customer_state IS NOT NULL")
+    folder = scratch_dir(spark, "sketches")
+    write_table(sketches.distinct_sketches(orders, [*keys, "order_purchase_month"], "customer_unique_id"), folder)
+    estimated = sketches.distinct_rollup(open_folder(spark, folder), keys).select(*keys, sketches.distinct_estimate().alias("estimate"))
+    exact = orders.groupBy(*keys, "customer_unique_id").agg(F.lit(1).alias("n")).groupBy(*keys).agg(F.count("customer_unique_id").alias("customers"))
+    off = F.abs(F.col("estimate") - F.col("customers"))
+    return exact.join(estimated, keys).select(
+        *keys, "customers", (off <= F.ceil(F.col("customers") * 3 * sketches.distinct_error())).alias("sketch_within_bound")
+    )
+
+
+def _freight_medians(m: RetailModel) -> DataFrame:
+    """Median freight of an order's seller per seller state, from stored monthly sketches, checked by its rank."""
+    spark, value = _spark(m), "order_seller_freight_value"
+    rows = m.delivery_order_item_places.filter(f"seller_state IS NOT NULL AND {value} IS NOT NULL")
+    folder = scratch_dir(spark, "sketches")
+    write_table(sketches.quantile_sketches(rows, ["seller_state", "order_purchase_month"], value), folder)
+    medians = sketches.quantile_rollup(open_folder(spark, folder), ["seller_state"]).select("seller_state", sketches.quantile_estimate(0.5).alias("median"))
+    ranked = rows.join(medians, "seller_state").groupBy("seller_state").agg(
+        F.count(F.lit(1)).alias("order_sellers"),
+        F.count_if(F.col(value) < F.col("median")).alias("below"),
+        F.count_if(F.col(value) <= F.col("median")).alias("upto"),
+    )
+    slack, half = F.col("order_sellers") * sketches.rank_error() + 1, F.col("order_sellers") / 2
+    return ranked.select(
+        "seller_state", "order_sellers", ((F.col("below") <= half + slack) & (F.col("upto") >= half - slack)).alias("sketch_within_bound")
+    )
 
 
 # --- samples ------------------------------------------------------------------------------------
@@ -205,12 +278,16 @@ QUERIES: dict[str, Query] = {
     "ingest_multiline_csv": _ingested("raw_order_reviews"),
     "ingest_lineage": _lineage,
     "ingest_folder_csv": _folder,
+    "overwrite_keeps_old": _overwrites,
     "sample_scaling": _sample_sizes,
+    "customers_by_state_year": _customers_by_year,
+    "freight_median_by_state": _freight_medians,
     "sample_by_key_half": lambda m: m.sampled(0.5).revenue_monthly,
     "sample_by_key_tenth": lambda m: m.sampled(0.1).revenue_monthly,
     # quality
     "dq_warn_counts": lambda m: _reports(m, WARN),
     "dq_report": lambda m: _reports(m, WARN, DROP, FAIL),
+    "publish_report": _publish_report,
     "dq_drop": lambda m: enforce(
         conform.typed_payments(m.raw.raw_order_payments), [r for r in RULES["payments_clean"] if r.action == DROP]
     ),
@@ -224,7 +301,9 @@ QUERIES: dict[str, Query] = {
     "payments_order_agg": _table("payments_order_agg"),
     "product_catalog": _table("product_catalog"),
     "order_items_revenue": _table("order_items_revenue"),
-    "order_items_revenue_broadcast": _table("order_items_revenue"),  # Catalyst decides by bytes
+    "order_items_revenue_broadcast": lambda m: conform.order_items_revenue(
+        m.raw.raw_order_items, m.product_catalog, BROADCAST_BELOW
+    ),
     "items_per_order": _table("items_per_order"),
     "orders_revenue": _table("orders_revenue"),
     "orders_revenue_no_customers": lambda m: conform.orders_revenue(
@@ -252,6 +331,8 @@ QUERIES: dict[str, Query] = {
     "delivery_corridor_month": _table("delivery_corridor_month"),
     "delivery_hotspots": _table("delivery_hotspots"),
     "delivery_exec_summary": lambda m: m.delivery_exec_summary.drop("kpi_generated_ts"),
+    "revenue_exec_summary_as_of": lambda m: RetailModel(m.landed, AS_OF).revenue_exec_summary,
+    "delivery_exec_summary_as_of": lambda m: RetailModel(m.landed, AS_OF).delivery_exec_summary,
     "customer_segmentation": _table("customer_segmentation"),
     # documented extensions of the segments and the summary
     "customer_payment_preference": lambda m: segments.payment_preference(
@@ -285,15 +366,17 @@ QUERIES: dict[str, Query] = {
     "purchase_range": lambda m: segments.purchase_range(m.last_12m_orders),
     "null_state_orders": lambda m: audits.null_state_orders(m.orders_revenue),
     # audits
-    "row_counts": lambda m: audits.row_counts(m.raw),
+    "row_counts": lambda m: audits.row_counts(m.landed),
+    "stored_row_counts": _stored_counts,
     "mart_row_counts": lambda m: audits.row_counts({name: getattr(m, name) for name in _MART_TABLES}),
     "row_count_audit": _count_audit,
-    "payment_profile": lambda m: audits.payment_profile(m.raw.raw_order_payments),
+    "payment_profile": lambda m: audits.payment_profile(m.landed.raw_order_payments),
     "ghost_payments": lambda m: audits.ghost_payments(m.raw.raw_order_payments, m.raw.raw_orders),
     "grain_check": _grains,
     "payment_mix": lambda m: audits.payment_mix(m.payments_order_agg),
     "reconciliation_summary": lambda m: audits.reconciliation_summary(m.orders_revenue),
     "unknown_category_rate": lambda m: audits.unknown_category_rate(m.order_items_revenue),
     "share_sum_check": lambda m: audits.share_sum_check({n: (getattr(m, n), s) for n, s in _SHARES.items()}),
-    "invariant_gate": _invariants,
+    "invariant_gate": invariant_report,
+    "invariant_gate_enforced": gate,
 }

@@ -22,7 +22,8 @@ from martloom.functions import (
     month_start,
 )
 from martloom.operators.lookup import enrich, translate
-from martloom.operators.rollup import distinct_list, heaviest
+from martloom.operators.rollup import Labels
+from martloom.plans.rules import PAYMENT_TYPES
 
 # Order states that do not count as revenue, and the name of a missing category.
 UNRECOGNISED_STATUSES = ("canceled", "unavailable")
@@ -51,33 +52,52 @@ def typed_payments(raw_payments: DataFrame) -> DataFrame:
     )
 
 
-def payments_clean(raw_payments: DataFrame) -> DataFrame:
+def clean_payments(typed: DataFrame) -> DataFrame:
     """Payment rows with an order and a value that is not negative."""
-    return typed_payments(raw_payments).filter("order_id IS NOT NULL AND payment_value >= 0")
+    return typed.filter("order_id IS NOT NULL AND payment_value >= 0")
+
 
+def payments_clean(raw_payments: DataFrame) -> DataFrame:
+    return clean_payments(typed_payments(raw_payments))
 
-def payments_per_order(payments: DataFrame) -> DataFrame:
+
+def payments_per_order(payments: DataFrame, known_types: tuple[str, ...] = PAYMENT_TYPES) -> DataFrame:
     """One row per order. The primary type is that of the single largest payment; ties go to the
-    lower sequence number, then the larger type name."""
-    return payments.groupBy("order_id").agg(
+    lower sequence number, then the larger type name.
+
+    Types on the list are kept in buffers of fixed size; orders with other types get those from a second, small
+    aggregate over their rows, which adaptive execution drops when there are none.
+    """
+    types = Labels("payment_type", known_types)
+    totals = payments.groupBy("order_id").agg(
         money_sum("payment_value").alias("total_payment_value"),
         F.count(F.lit(1)).alias("n_payments"),
         F.max("payment_installments").alias("installments_max"),
-        distinct_list("payment_type").alias("payment_type_mix"),
-        heaviest("payment_type", "payment_value", -F.col("payment_sequential")).alias("primary_payment_type"),
+        types.bits().alias("_known"),
+        F.max(types.packed("payment_value", "payment_sequential")).alias("_heaviest"),
+    )
+    others = types.others(payments, "order_id", "payment_value", "payment_sequential")
+    labels = F.coalesce("other_labels", F.array().cast("array<string>"))
+    return totals.join(others, on="order_id", how="left").select(
+        "order_id",
+        "total_payment_value",
+        "n_payments",
+        "installments_max",
+        F.array_join(F.array_sort(F.concat(types.listed("_known"), labels)), ",").alias("payment_type_mix"),
+        types.winner("_heaviest", F.col("other_winner")).alias("primary_payment_type"),
     )
 
 
 # --- products and items -------------------------------------------------------------------------
 
 
-def product_catalog(raw_products: DataFrame, raw_translation: DataFrame) -> DataFrame:
+def named_products(raw_products: DataFrame, raw_translation: DataFrame) -> DataFrame:
     """Products with an English category: translated, else as given, else `unknown`."""
     products = raw_products.select(
         as_text("product_id").alias("product_id"),
         "product_category_name",
         *[as_int(c).alias(c) for c in SIZE_COLUMNS],
-    ).filter("product_id IS NOT NULL")
+    )
     return translate(
         products,
         raw_translation,
@@ -89,6 +109,10 @@ def product_catalog(raw_products: DataFrame, raw_translation: DataFrame) -> Data
     ).select("product_id", "product_category_name", *SIZE_COLUMNS, "product_category_en")
 
 
+def product_catalog(raw_products: DataFrame, raw_translation: DataFrame) -> DataFrame:
+    return named_products(raw_products, raw_translation).filter("product_id IS NOT NULL")
+
+
 def typed_items(raw_items: DataFrame) -> DataFrame:
     return raw_items.select(
         as_text("order_id").alias("order_id"),
@@ -100,18 +124,33 @@ def typed_items(raw_items: DataFrame) -> DataFrame:
     )
 
 
+def priced(items: DataFrame) -> DataFrame:
+    """Typed items whose price and freight are known and not negative, with their sum."""
+    kept = items.filter("price >= 0 AND freight_value >= 0")
+    return kept.withColumn("item_total_revenue", money_add("price", "freight_value"))
+
+
+def likely_priced(raw_items: DataFrame) -> DataFrame:
+    """Raw items without most of those that `priced` leaves out. On the columns as they are, so it reaches the scan."""
+    return raw_items.filter((F.col("price").try_cast("double") >= 0) & (F.col("freight_value").try_cast("double") >= 0))
+
+
 def priced_items(raw_items: DataFrame) -> DataFrame:
-    """Items whose price and freight are known and not negative, with their sum."""
-    # the first filter is on the columns as they are, so that it reaches the scan
-    given = raw_items.filter((F.col("price").try_cast("double") >= 0) & (F.col("freight_value").try_cast("double") >= 0))
-    items = typed_items(given).filter("price >= 0 AND freight_value >= 0")
-    return items.withColumn("item_total_revenue", money_add("price", "freight_value"))
+    return priced(typed_items(likely_priced(raw_items)))
+
+
+def categorised_items(raw_items: DataFrame, catalog: DataFrame, broadcast_below: int | None = None) -> DataFrame:
+    """All typed items with the category of their product."""
+    return enrich(typed_items(raw_items), catalog, ["product_id"], ["product_category_en"], broadcast_below)
 
 
-def order_items_revenue(raw_items: DataFrame, catalog: DataFrame) -> DataFrame:
+def order_items_revenue(raw_items: DataFrame, catalog: DataFrame, broadcast_below: int | None = None) -> DataFrame:
+    return priced_categories(categorised_items(likely_priced(raw_items), catalog, broadcast_below))
+
+
+def priced_categories(categorised: DataFrame) -> DataFrame:
     """Priced items with their English category."""
-    joined = enrich(priced_items(raw_items), catalog, ["product_id"], ["product_category_en"])
-    return joined.select(
+    return priced(categorised).select(
         "product_id",
         "order_id",
         "order_item_id",
@@ -246,14 +285,17 @@ def typed_geolocation(raw_geolocation: DataFrame) -> DataFrame:
 
 
 def geo_zip_prefix(raw_geolocation: DataFrame) -> DataFrame:
+    return zip_places(typed_geolocation(raw_geolocation))
+
+
+def zip_places(typed: DataFrame) -> DataFrame:
     """One place per zip prefix and state; the city is the alphabetically first one."""
 
     def center(c: str):
         return F.try_divide(F.sum(c).cast("double"), F.count(c).cast("double"))
 
     return (
-        typed_geolocation(raw_geolocation)
-        .filter("zip_code_prefix IS NOT NULL")
+        typed.filter("zip_code_prefix IS NOT NULL")
         .groupBy("zip_code_prefix", "geo_state")
         .agg(center("lat").alias("avg_lat"), center("lng").alias("avg_lng"), F.min("geo_city").alias("geo_city"))
     )
@@ -279,23 +321,35 @@ def _place_columns(prefix: str) -> list:
     ]
 
 
+def typed_customers(raw_customers: DataFrame) -> DataFrame:
+    return raw_customers.select("customer_id", "customer_unique_id", *_place_columns("customer"))
+
+
+def typed_sellers(raw_sellers: DataFrame) -> DataFrame:
+    return raw_sellers.select("seller_id", *_place_columns("seller"))
+
+
 def customer_places(raw_customers: DataFrame) -> DataFrame:
     """Customers with cleaned places, before coordinates. Marts that need no coordinates stop here
     and skip the geolocation scan and join."""
-    typed = raw_customers.select("customer_id", "customer_unique_id", *_place_columns("customer"))
-    return typed.filter("customer_id IS NOT NULL")
+    return typed_customers(raw_customers).filter("customer_id IS NOT NULL")
 
 
 def seller_places(raw_sellers: DataFrame) -> DataFrame:
-    return raw_sellers.select("seller_id", *_place_columns("seller")).filter("seller_id IS NOT NULL")
+    return typed_sellers(raw_sellers).filter("seller_id IS NOT NULL")
+
+
+def located(typed: DataFrame, geo: DataFrame, prefix: str) -> DataFrame:
+    """Known customers or sellers with coordinates."""
+    return _placed(typed.filter(f"{prefix}_id IS NOT NULL"), geo, prefix)
 
 
 def customer_geo(raw_customers: DataFrame, geo: DataFrame) -> DataFrame:
-    return _placed(customer_places(raw_customers), geo, "customer")
+    return located(typed_customers(raw_customers), geo, "customer")
 
 
 def seller_geo(raw_sellers: DataFrame, geo: DataFrame) -> DataFrame:
-    return _placed(seller_places(raw_sellers), geo, "seller")
+    return located(typed_sellers(raw_sellers), geo, "seller")
 
 
 # --- delivery -----------------------------------------------------------------------------------
@@ -323,8 +377,12 @@ LATE_BANDS = ((1, 3, "late_1_3_days"), (4, 7, "late_4_7_days"), (8, None, "late_
 
 
 def delivery_orders(raw_orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Order-level delivery fact. Only delivered orders have a delta against the promised date."""
-    orders = standard_orders(raw_orders).filter("order_id IS NOT NULL")
+    return measured_deliveries(standard_orders(raw_orders), customers)
+
+
+def measured_deliveries(standard: DataFrame, customers: DataFrame) -> DataFrame:
+    """Order-level delivery fact over standard orders. Only delivered orders have a delta against the promised date."""
+    orders = standard.filter("order_id IS NOT NULL")
     placed = enrich(orders, customers, ["customer_id"], [c for c in customers.columns if c != "customer_id"])
     delivered = F.col("order_status") == "delivered"
     arrived, promised = "order_delivered_customer_ts", "order_estimated_delivery_ts"
@@ -349,21 +407,26 @@ def delivery_orders(raw_orders: DataFrame, customers: DataFrame) -> DataFrame:
     return with_purchase_calendar(graded)
 
 
-def order_seller_rollup(raw_items: DataFrame, sellers: DataFrame) -> DataFrame:
+def order_seller_totals(raw_items: DataFrame) -> DataFrame:
     """One row per order and seller. A reader that needs no product count gets a plain aggregate:
     Catalyst drops the distinct count and its extra shuffle."""
     keys = [as_text("order_id").alias("order_id"), as_text("seller_id").alias("seller_id")]
-    rollup = (
-        raw_items.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("item_count"),
-            F.count_distinct(as_text("product_id")).alias("distinct_product_count"),
-            money_sum(as_money("price")).alias("order_seller_item_value"),
-            money_sum(as_money("freight_value")).alias("order_seller_freight_value"),
-            F.max(as_instant("shipping_limit_date")).alias("max_shipping_limit_ts"),
-        )
-        .filter("order_id IS NOT NULL AND seller_id IS NOT NULL")
+    return raw_items.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("item_count"),
+        F.count_distinct(as_text("product_id")).alias("distinct_product_count"),
+        money_sum(as_money("price")).alias("order_seller_item_value"),
+        money_sum(as_money("freight_value")).alias("order_seller_freight_value"),
+        F.max(as_instant("shipping_limit_date")).alias("max_shipping_limit_ts"),
     )
+
+
+def order_seller_rollup(raw_items: DataFrame, sellers: DataFrame) -> DataFrame:
+    return known_order_sellers(order_seller_totals(raw_items), sellers)
+
+
+def known_order_sellers(totals: DataFrame, sellers: DataFrame) -> DataFrame:
+    """The known orders and sellers of `order_seller_totals`, with the seller's place."""
+    rollup = totals.filter("order_id IS NOT NULL AND seller_id IS NOT NULL")
     return enrich(rollup, sellers, ["seller_id"], [c for c in sellers.columns if c != "seller_id"])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from martloom.functions import snapshot
 from martloom.operators.ranking import with_dense_rank
 from martloom.operators.spread import (
     histogram,
@@ -83,34 +84,31 @@ def delivery_hotspots(deliveries: DataFrame) -> DataFrame:
 def delivery_exec_summary(deliveries: DataFrame, as_of: str | None = None) -> DataFrame:
     """One row of delivery figures, also on empty input."""
     hist = histogram(_measured(deliveries), [], DELTA, list(DURATIONS.values()))
-    stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
-    return _summarize(hist, [], *_order_measures()).withColumn("kpi_generated_ts", stamp)
+    return _summarize(hist, [], *_order_measures()).withColumn("kpi_generated_ts", snapshot(as_of))
 
 
 def _seller_side(
     order_items: DataFrame, keys: list[str], counts: list[str], amounts: list[str], *measures: Column
 ) -> DataFrame:
-    """Marts at order and seller grain, in one pass over the rows.
+    """Marts at order and seller grain.
 
-    One grouping-sets aggregate yields both the delay histogram and the list of sellers per group.
-    Orders are counted by marking one row per order and seller state; the rows arrive partitioned by
-    order, so the mark needs no shuffle, and an order has at most one row per seller.
+    Orders are counted in two levels: rows shrink to one per order and group first, where they lie (they arrive
+    partitioned by order, so nothing moves), then to the delay histogram. Sellers are counted in two levels as
+    well. Both start at the same joined rows and read the same columns of them, so Spark reuses the shuffles of
+    items and orders below. No step sorts or marks rows within an order.
     """
     base = _measured(order_items, *[k for k in keys if k != MONTH])
-    once = Window.partitionBy("order_id", "seller_state").orderBy("seller_id")
-    marked = base.withColumn("_first", F.when(F.row_number().over(once) == 1, 1).otherwise(0))
-    sets = [[*keys, DELTA], [*keys, "seller_id"]]
-    fine = marked.groupingSets(sets, *keys, DELTA, "seller_id").agg(
-        F.grouping("seller_id").alias("_in_hist"), F.sum("_first").alias("_orders"), *tallies(counts, amounts)
-    )
-    sums = [c for c in fine.columns if c.startswith(("_n", "_sum", "_cnt", "_orders"))]
-    in_hist = F.col("_in_hist") == 1
-    hist = fine.groupBy(*keys, DELTA).agg(
-        *[F.sum(F.when(in_hist, F.col(c))).alias(c) for c in sums],
-        F.count(F.when(~in_hist, F.col("seller_id"))).alias("_sellers"),
-    )
+    per_order = base.groupBy("order_id", *keys, DELTA).agg(*tallies(counts, amounts))
+    sums = [c for c in per_order.columns if c.startswith(("_n", "_sum", "_cnt"))]
+    hist = per_order.groupBy(*keys, DELTA).agg(F.count(F.lit(1)).alias("_orders"), *[F.sum(c).alias(c) for c in sums])
+    per_seller = base.groupBy(*keys, "seller_id").agg(*tallies(counts, amounts), F.max(DELTA).alias("_delta"))
+    seen = F.col("_delta").isNotNull()  # always true; with the counts below it keeps all columns in the shuffle
+    for c in sums:
+        if c.startswith("_cnt"):
+            seen = seen & (F.col(c) >= 0)
+    sellers = per_seller.groupBy(*keys).agg(F.count(F.when(seen, F.col("seller_id"))).alias("_sellers"))
     return _summarize(
-        hist,
+        hist.unionByName(sellers, allowMissingColumns=True),
         keys,
         F.sum("_orders").alias("total_orders"),
         F.sum("_sellers").alias("active_sellers"),

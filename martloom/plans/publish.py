@@ -1,17 +1,20 @@
-"""Write the model's tables, conformed ones first, and build the marts from the stored copies."""
+"""Write the model's tables, conformed ones first, and build the marts from the stored copies.
+
+A table replaces its last version when it is complete; a rule that stops the job leaves the last version.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from martloom.functions import published
-from martloom.operators.quality import observe
+from martloom.plans import audits
 from martloom.plans.model import RetailModel
-from martloom.plans.rules import RULES
-from martloom.sources.ingest import save_table, write_table
+from martloom.sources.ingest import complete, save_table, write_table
+from martloom.sources.store import Audit, open_folder, swap_folders
 
 CONFORMED = (
     "payments_clean",
@@ -67,7 +70,10 @@ BY_ORDER = (
 
 @dataclass
 class TableReport:
+    """Rows that arrived, rows written, and violations of each rule among those that arrived."""
+
     table: str
+    rows_seen: int
     rows: int
     violations: dict[str, int]
 
@@ -75,29 +81,34 @@ class TableReport:
 def _publish(
     model: RetailModel,
     tables: tuple[str, ...],
-    write: Callable[[DataFrame, str], None],
+    write: Callable[[DataFrame, str, tuple[Audit, ...]], None],
     read: Callable[[DataFrame, str], DataFrame],
 ) -> list[TableReport]:
+    """One job a table: it is written, and its input rows, violations and output rows are counted on the way."""
     reports = []
     for name in tables:
-        watch = Observation()
-        frame = observe(published(getattr(model, name)), RULES.get(name, ()), watch)
-        write(frame, name)
+        watch, written = Observation(), Observation()
+        frame = published(model.build(name, watch)).observe(written, F.count(F.lit(1)).alias("rows"))
+        write(frame, name, (complete(written),))
         counts = dict(watch.get)
-        reports.append(TableReport(name, counts.pop("rows_seen", 0), counts))
-        stored = read(frame, name)
-        for served in (name, *[narrow for narrow, table in SERVED_BY.items() if table == name]):
-            setattr(model, served, stored)
+        reports.append(TableReport(name, counts.pop("rows_seen", 0), written.get["rows"], counts))
+        _serve(model, name, read(frame, name))
     return reports
 
 
+def _serve(model: RetailModel, name: str, stored: DataFrame) -> None:
+    """From now on the model reads a table, and the narrow forms it serves for, from storage."""
+    for served in (name, *[narrow for narrow, table in SERVED_BY.items() if table == name]):
+        setattr(model, served, stored)
+
+
 def publish(
     model: RetailModel,
     target: str,
     tables: tuple[str, ...] = CONFORMED + MARTS,
     partition_by: dict[str, tuple[str, ...]] | None = None,
 ) -> list[TableReport]:
-    """Write the tables under `target`, each in one pass that also counts rows and rule violations.
+    """Write the tables under `target`, each in one pass that also counts rows and rule violations on its input.
 
     Every written table replaces its plan in the model, so later tables read it from storage: nothing
     is computed twice, scans fetch only the columns a mart needs, and a lost executor costs at most
@@ -107,7 +118,7 @@ def publish(
     return _publish(
         model,
         tables,
-        lambda df, name: write_table(df, f"{target}/{name}", partition_by=split.get(name, ())),
+        lambda df, name, checks: write_table(df, f"{target}/{name}", partition_by=split.get(name, ()), audits=checks),
         lambda df, name: df.sparkSession.read.schema(df.schema).parquet(f"{target}/{name}"),
     )
 
@@ -122,14 +133,55 @@ def publish_to_catalog(
     large part of all rows makes its bucket large; publish such data without buckets.
     """
 
-    def write(df: DataFrame, name: str) -> None:
+    def write(df: DataFrame, name: str, checks: tuple[Audit, ...]) -> None:
         if buckets and name in BY_ORDER:
-            save_table(df.repartition(buckets, "order_id"), f"{database}.{name}", bucket_by=(buckets, "order_id"))
+            save_table(df.repartition(buckets, "order_id"), f"{database}.{name}", bucket_by=(buckets, "order_id"), audits=checks)
         else:
-            save_table(df, f"{database}.{name}")
+            save_table(df, f"{database}.{name}", audits=checks)
 
     return _publish(model, tables, write, lambda df, name: df.sparkSession.table(f"{database}.{name}"))
 
 
 def read_published(spark: SparkSession, target: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{target}/{name}")
+    return open_folder(spark, f"{target}/{name}")
+
+
+def stored_counts(spark: SparkSession, target: str, tables: tuple[str, ...] = CONFORMED + MARTS) -> DataFrame:
+    """Rows of published tables, from the footers of their files alone."""
+    return audits.footer_counts(spark, {name: f"{target}/{name}" for name in tables})
+
+
+def invariant_report(model: RetailModel) -> DataFrame:
+    """One row for each invariant of the revenue tables."""
+    return audits.invariants(
+        model.payments_clean,
+        model.payments_order_agg,
+        model.orders_revenue,
+        model.raw.raw_orders,
+        model.order_items_revenue,
+        model.revenue_by_category_month,
+        model.revenue_by_state_month,
+        model.revenue_by_payment_type_month,
+        model.revenue_exec_summary,
+    )
+
+
+def gate(model: RetailModel) -> DataFrame:
+    """The invariants, as a frame that stops whatever job reads it when one of them does not hold."""
+    return audits.require_pass(invariant_report(model))
+
+
+def release(model: RetailModel, target: str, tables: tuple[str, ...] = CONFORMED + MARTS) -> list[TableReport]:
+    """Publish below `<target>/candidate`, pass the gate on the stored copies, then swap `<target>/current` for it.
+
+    If a rule, an audit or an invariant fails, `current` keeps the last release as a whole.
+    """
+    spark = model.landed.raw_orders.sparkSession
+    candidate, current = f"{target}/candidate", f"{target}/current"
+    staged = RetailModel(model.landed, model.as_of)  # its frames read the candidate, which is about to move
+    reports = publish(staged, candidate, tables)
+    gate(staged).collect()  # one row for each invariant
+    swap_folders(spark, candidate, current)
+    for name in tables:
+        _serve(model, name, spark.read.schema(getattr(staged, name).schema).parquet(f"{current}/{name}"))
+    return reports

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from martloom.functions import exact_mean, money_sum, pct_change, ratio
+from martloom.functions import exact_mean, money_sum, pct_change, ratio, snapshot
 from martloom.operators.periods import with_period_change, with_rolling_sum
 from martloom.operators.ranking import with_dense_rank, with_share
 from martloom.operators.rollup import heaviest
@@ -131,7 +131,6 @@ def revenue_exec_summary(
     orders: DataFrame, months: DataFrame, category_orders: DataFrame, as_of: str | None = None
 ) -> DataFrame:
     """One row of headline figures, also on empty input. `as_of` replaces the current time."""
-    stamp = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
     categories = category_month_totals(months, category_orders)
     return _figures(_daily(orders), categories).select(
         "total_orders",
@@ -143,7 +142,7 @@ def revenue_exec_summary(
         F.col("top_product_category_en").alias("top_category"),
         "top_customer_state",
         F.col("top_primary_payment_type").alias("top_payment_type"),
-        stamp.alias("kpi_generated_ts"),
+        snapshot(as_of).alias("kpi_generated_ts"),
     )
 
 

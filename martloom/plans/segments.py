@@ -10,7 +10,6 @@ from martloom.operators.periods import trailing_months
 from martloom.operators.ranking import with_percent_rank
 from martloom.operators.rollup import heaviest
 from martloom.plans.conform import UNRECOGNISED_STATUSES, order_totals
-from martloom.sources.ingest import stored
 
 # Cut points, bounds and names of the segments and personas.
 VALUE_CUTS = (0.85, 0.40)
@@ -43,16 +42,18 @@ def tier(measure: str, cuts: tuple[float, float]) -> Column:
 
 
 def delivered_orders(raw_orders: DataFrame) -> DataFrame:
-    return raw_orders.filter(clean_lower("order_status") == "delivered")
+    delivered = raw_orders.filter(clean_lower("order_status") == "delivered")
+    return delivered.withColumn("order_purchase_timestamp", as_instant("order_purchase_timestamp"))
 
 
 def last_12m_orders(raw_orders: DataFrame, raw_items: DataFrame, raw_customers: DataFrame) -> DataFrame:
+    return recent_orders(delivered_orders(raw_orders), raw_items, raw_customers)
+
+
+def recent_orders(delivered: DataFrame, raw_items: DataFrame, raw_customers: DataFrame) -> DataFrame:
     """Delivered orders of the twelve months before the newest delivered one, with order total and
     customer. The total is NULL for an order without items."""
-    typed = delivered_orders(raw_orders).withColumn(
-        "order_purchase_timestamp", as_instant("order_purchase_timestamp")
-    )
-    recent = trailing_months(typed, "order_purchase_timestamp", 12)
+    recent = trailing_months(delivered, "order_purchase_timestamp", 12)
     # only items of these orders are summed and moved, not those of all years
     items = raw_items.join(recent.select("order_id"), on="order_id", how="left_semi")
     with_totals = enrich(recent, order_totals(items), ["order_id"], ["total_price"])
@@ -60,9 +61,9 @@ def last_12m_orders(raw_orders: DataFrame, raw_items: DataFrame, raw_customers:
 
 
 def _with_value_segment(customers: DataFrame, cuts: tuple[float, float]) -> DataFrame:
-    """The percent rank reads its input twice; one stored row per customer saves the second pass
-    over orders and items."""
-    ranked = with_percent_rank(stored(customers, "customers"), "total_price_unique_cust", "spend_percentile")
+    """The percent rank reads its input twice. Both readers start at the same shuffle by customer, which Spark
+    reuses, so orders and items are read once."""
+    ranked = with_percent_rank(customers, "total_price_unique_cust", "spend_percentile")
     return ranked.withColumns(
         {
             "spend_percentile_100": F.col("spend_percentile") * 100,

@@ -15,6 +15,8 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # counts of stored tables come from file footers where a query asks for them that way
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 # UTC for zoned text; room for the compiled code of many marts, so that a session that builds them in
 # turn does not compile each stage again; no call-site capture, which costs several driver round trips

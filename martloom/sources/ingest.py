@@ -1,18 +1,23 @@
 """Config-driven file ingest and the table sink.
 
-Everything stays lazy until the sink runs. The sink looks whether there is a row and makes one pass: it writes the kept rows and,
-through an `Observation` on the same job, counts the rows read and the violations of each rule.
+Everything stays lazy until the sink runs. The sink makes one pass: it writes the kept rows beside the old table and,
+through `Observation`s on the same job, counts the rows read, the violations of each rule and the rows kept. Only
+when these counts pass does the new table take the old one's place (`martloom.sources.store`).
 """
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from martloom.operators.quality import as_drop_rules, enforce, observe
 from martloom.session import scratch_dir
 from martloom.sources.schemas import FileSource
+from martloom.sources.store import Audit, AuditError, replace_folder, replace_table
 
 
 class EmptySourceError(ValueError):
@@ -32,9 +37,47 @@ def read_source(spark: SparkSession, source: FileSource, lineage: bool = False)
     return rows.withColumn("ingestion_ts", F.current_timestamp())
 
 
-def read_folder(spark: SparkSession, folder: str, **options) -> DataFrame:
-    """All CSV files of a folder as one text-typed frame."""
-    return spark.read.options(header=True, **options).csv(folder)
+def folder_headers(spark: SparkSession, folder: str, pattern: str = "*.csv", delimiter: str = ",") -> dict[tuple[str, ...], list[str]]:
+    """The files below a folder by their header. Files without a line are left out.
+
+    One narrow pass over the text: of a file's first block, which one task reads from its start, the
+    first line stays. The driver receives what a file listing holds anyway, one entry for each file.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(folder)
+    starts = lines.select("value", "_metadata.file_path", "_metadata.file_block_start").where("file_block_start = 0")
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in starts.groupBy("file_path").agg(F.first("value").alias("header")).orderBy("file_path").collect():
+        names = tuple(n.strip() for n in next(csv.reader([row["header"].lstrip("\ufeff")], delimiter=delimiter)))
+        if len({n.lower() for n in names}) < len(names):
+            raise ValueError(f"{row['file_path']} repeats a column name: {names}")
+        found.setdefault(names, []).append(row["file_path"])
+    return found
+
+
+def read_folder(
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.csv",
+    lineage: bool = False,
+    options_for: Callable[[tuple[str, ...]], dict] = lambda header: {},
+    **options,
+) -> DataFrame:
+    """All delimited files below a folder, at any depth, as one text-typed frame.
+
+    Unlike files meet by column name: a file's columns are those its own header names, in its own order, and
+    columns it lacks are NULL. Files that share a header are one scan, so a reader that needs few columns
+    parses only those and skips files without them. `options_for` gives reader options by header, such as
+    `multiLine` for files whose text holds line ends; each file is read once.
+    """
+    delimiter = options.get("sep", options.get("delimiter", ","))
+    frames = []
+    for header, files in folder_headers(spark, folder, pattern, delimiter).items():
+        schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in header)
+        rows = spark.read.options(**({"header": True} | options | options_for(header))).schema(schema).csv(files)
+        frames.append(rows.select("*", F.col("_metadata.file_path").alias("source_file")) if lineage else rows)
+    if not frames:
+        raise EmptySourceError(f"{folder} holds no file with a header")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_tables(spark: SparkSession, sources: list[FileSource], lineage: bool = False) -> dict[str, DataFrame]:
@@ -54,21 +97,37 @@ class LoadReport:
 def load_table(
     spark: SparkSession, source: FileSource, target: str, lineage: bool = False, fmt: str = "parquet"
 ) -> LoadReport:
-    """Read, check, drop and write one source; fail when nothing was delivered.
+    """Read, check, drop and write one source in one pass; fail when nothing was delivered.
 
-    Emptiness is checked first, by reading one row, so that an empty delivery leaves the old table alone.
+    The counts of the pass are audited before the new table replaces the old one, so an empty or broken
+    delivery leaves it alone. With load mode `append` the new rows join the old ones only when all are written.
     """
     rules = as_drop_rules(source.dq_rules)
-    arrived = read_source(spark, source, lineage)
-    if arrived.isEmpty():
-        raise EmptySourceError(f"{source.path} contains no records")
-    watch = Observation()
-    rows = observe(arrived, rules, watch)
-    write_table(enforce(rows, rules), target, mode=source.load_mode, fmt=fmt)
+    watch, written = Observation(), Observation()
+    rows = enforce(observe(read_source(spark, source, lineage), rules, watch), rules)
+
+    def delivered(staged: DataFrame) -> None:
+        if not watch.get["rows_seen"]:
+            raise EmptySourceError(f"{source.path} contains no records")
+
+    write_table(
+        rows.observe(written, F.count(F.lit(1)).alias("rows")), target, mode=source.load_mode, fmt=fmt, audits=(delivered, complete(written))
+    )
     seen = dict(watch.get)
     return LoadReport(source.table_name, seen.pop("rows_seen", 0), seen)
 
 
+def complete(written: Observation) -> Audit:
+    """As many rows can be read back as went into the write that `written` watched (as `rows`)."""
+
+    def audit(staged: DataFrame) -> None:
+        stored, sent = staged.count(), written.get["rows"]
+        if stored != sent:
+            raise AuditError(f"{stored} of {sent} rows can be read back")
+
+    return audit
+
+
 def load_all(spark: SparkSession, sources: list[FileSource], target_dir: str) -> list[LoadReport]:
     return [load_table(spark, s, f"{target_dir}/{s.table_name}") for s in sources]
 
@@ -79,8 +138,20 @@ def write_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
     partition_by: tuple[str, ...] = (),
+    audits: tuple[Audit, ...] = (),
 ) -> None:
-    """Write a folder table, optionally split into one sub-folder per value for partition pruning."""
+    """Write a folder table, optionally split into one sub-folder per value for partition pruning.
+
+    With `overwrite` the new rows replace the old ones when all are written and every audit has passed.
+    With `append` they are written and audited beside the table first, then copied into it in one commit.
+    """
+    if mode == "overwrite":
+        replace_folder(df, target, fmt, partition_by, audits)
+        return
+    if audits:
+        staged = scratch_dir(df.sparkSession, "staged")
+        replace_folder(df, staged, fmt, audits=audits)
+        df = df.sparkSession.read.format(fmt).schema(df.schema).load(staged)
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -104,8 +175,15 @@ def save_table(
     mode: str = "overwrite",
     fmt: str = "parquet",
     bucket_by: tuple[int, str] | None = None,
+    audits: tuple[Audit, ...] = (),
 ) -> None:
-    """Write a catalog table. Tables bucketed alike on their key join without a shuffle."""
+    """Write a catalog table. Tables bucketed alike on their key join without a shuffle.
+
+    With `overwrite` a table of the same name is replaced once the new one is complete and audited.
+    """
+    if mode == "overwrite":
+        replace_table(df, name, fmt, bucket_by, audits)
+        return
     writer = df.write.mode(mode).format(fmt)
     if bucket_by:
         buckets, key = bucket_by

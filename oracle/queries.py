@@ -60,12 +60,45 @@ _SOURCES = [
 _STATUSES = "('created','approved','invoiced','processing','shipped','delivered','unavailable','canceled')"
 _TYPES = "('credit_card','boleto','voucher','debit_card','not_defined')"
 
+# columns of the sources that are no text; decimals are DOUBLE in files
+_FILE_TYPES = {
+    "raw_order_items": "shipping_limit_date, price, freight_value",
+    "raw_order_payments": "payment_sequential, payment_installments, payment_value",
+    "raw_products": "product_weight_g, product_length_cm, product_height_cm, product_width_cm",
+    "raw_customers": "customer_zip_code_prefix",
+    "raw_orders": "order_purchase_timestamp, order_approved_at, order_delivered_carrier_date, "
+    "order_delivered_customer_date, order_estimated_delivery_date",
+    "raw_order_reviews": "review_score, review_creation_date, review_answer_timestamp",
+}
+_AMOUNTS = ("price", "freight_value", "payment_value")
+
+
+def _as_text(name: str) -> str:
+    """A source as the text its file holds."""
+    names = [c for c in _FILE_TYPES.get(name, "").split(", ") if c]
+    casts = [f"CAST({f'CAST({c} AS DOUBLE)' if c in _AMOUNTS else c} AS VARCHAR) AS {c}" for c in names]
+    replaced = f"REPLACE ({', '.join(casts)})" if casts else ""
+    return f"SELECT * {replaced} FROM {'landed_customers' if name == 'raw_customers' else name}"
+
+
+def _step(step: str, where: str = "TRUE") -> str:
+    return f"""SELECT '{step}' AS step, CAST(COUNT(*) AS BIGINT) AS row_count, CAST(SUM(payment_value) AS DOUBLE) AS total_value
+FROM pay_clean WHERE {where}"""
+
+
+# the two refused writes leave what the first one wrote
+_STEPS = " UNION ALL ".join(
+    [*[_step(s) for s in ("first", "stopped_by_rule", "refused_by_audit")], _step("from_itself", "payment_sequential = 1")]
+)
+
 _PAY_TYPED = """(SELECT order_id, lower(trim(payment_type)) AS payment_type, payment_installments, payment_value
                  FROM raw_order_payments)"""
 _ITEM_TYPED = """(SELECT i.*, c.product_category_en FROM raw_order_items i
                   LEFT JOIN catalog c ON i.product_id = c.product_id)"""
 _GEO_TYPED = """(SELECT TRY_CAST(geolocation_zip_code_prefix AS INTEGER) AS zip_code_prefix,
                         upper(trim(geolocation_state)) AS geo_state FROM raw_geolocation)"""
+_ORDER_SELLER = "(SELECT order_id, seller_id FROM raw_order_items GROUP BY order_id, seller_id)"
+_DELIVERED = "(SELECT * FROM raw_orders WHERE lower(trim(order_status)) = 'delivered')"
 _RULES = [
     ("payments_clean", _PAY_TYPED, "order_id_not_null", "fail", "order_id IS NOT NULL"),
     ("payments_clean", _PAY_TYPED, "payment_value_not_negative", "drop", "payment_value >= 0"),
@@ -93,6 +126,28 @@ _RULES = [
         "abs(payment_reconciliation_delta) / greatest(revenue_total, 1) < 0.05",
     ),
     ("orders_revenue", "ord_rev", "valid_order_status", "warn", f"order_status IN {_STATUSES}"),
+    ("payments_order_agg", "pay_order", "order_id_not_null", "fail", "order_id IS NOT NULL"),
+    ("payments_order_agg", "pay_order", "total_payment_value_not_negative", "fail", "total_payment_value >= 0"),
+    ("customer_geo", "raw_customers", "customer_id_not_null", "drop", "customer_id IS NOT NULL"),
+    ("seller_geo", "raw_sellers", "seller_id_not_null", "drop", "seller_id IS NOT NULL"),
+    ("order_seller_rollup", _ORDER_SELLER, "order_id_not_null", "drop", "order_id IS NOT NULL"),
+    ("order_seller_rollup", _ORDER_SELLER, "seller_id_not_null", "drop", "seller_id IS NOT NULL"),
+    ("delivery_order_item", "deliv_item", "order_id_not_null", "drop", "order_id IS NOT NULL"),
+    ("delivery_order_item", "deliv_item", "seller_id_not_null", "warn", "seller_id IS NOT NULL"),
+    ("order_totals", "ord_total", "order_id_not_null", "fail", "order_id IS NOT NULL"),
+    ("last_12m_orders", _DELIVERED, "order_purchase_timestamp_not_null", "fail", "order_purchase_timestamp IS NOT NULL"),
+    ("customer_volume_segment", "cust_volume", "customer_unique_id_not_null", "fail", "customer_unique_id IS NOT NULL"),
+    ("revenue_monthly", "mart_monthly", "total_revenue_not_negative", "warn", "total_revenue >= 0"),
+    ("revenue_by_category_month", "mart_category", "product_category_en_not_null", "warn", "product_category_en IS NOT NULL"),
+    ("revenue_by_state_month", "mart_state", "customer_state_not_null", "warn", "customer_state IS NOT NULL"),
+    ("revenue_by_payment_type_month", "mart_payment", "primary_payment_type_not_null", "warn", "primary_payment_type IS NOT NULL"),
+    (
+        "customer_segmentation",
+        "cust_seg",
+        "valid_persona",
+        "fail",
+        "customer_persona IN ('VIP', 'Core Customer', 'Casual Buyer')",
+    ),
     ("geo_zip_prefix", _GEO_TYPED, "zip_code_prefix_not_null", "drop", "zip_code_prefix IS NOT NULL"),
     ("geo_zip_prefix", _GEO_TYPED, "valid_state", "warn", "length(geo_state) = 2"),
     ("delivery_order", "std_ord", "order_id_not_null", "drop", "order_id IS NOT NULL"),
@@ -100,14 +155,24 @@ _RULES = [
     ("delivery_order", "std_ord", "valid_order_status", "warn", f"order_status IN {_STATUSES}"),
 ]
 
-_RAW_VIOLATIONS = {"raw_customers": "(CASE WHEN customer_zip_code_prefix > 0 THEN 0 ELSE 1 END)"}
+_RAW_VIOLATIONS = {
+    "raw_customers": "(CASE WHEN customer_zip_code_prefix > 0 THEN 0 ELSE 1 END + CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END)"
+}
+
+
+def _landed(name: str) -> str:
+    """The table as delivered."""
+    return "landed_customers" if name == "raw_customers" else name
+
+
+_ALL_LANDED = {name: _landed(name) for name in _SOURCES}
 
 
 def _loaded(name: str) -> str:
     bad = _RAW_VIOLATIONS.get(name, "0")
     return (
         f"SELECT '{name}' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows_read, "
-        f"CAST(COUNT(*) - SUM({bad}) AS BIGINT) AS rows_kept, CAST(SUM({bad}) AS BIGINT) AS violations FROM {name}"
+        f"CAST(COUNT(*) FILTER (WHERE {bad} = 0) AS BIGINT) AS rows_kept, CAST(SUM({bad}) AS BIGINT) AS violations FROM {_landed(name)}"
     )
 
 
@@ -257,13 +322,23 @@ _NO_CUSTOMER = (
     )
 )
 
+_EXEC_SUMMARY = f"""
+SELECT *, CASE WHEN total_orders > 0 THEN total_revenue / total_orders END AS aov,
+       CASE WHEN prior_12m_revenue > 0
+            THEN (last_12m_revenue - prior_12m_revenue) / prior_12m_revenue * 100.0 END AS yoy_growth_pct,
+       {_top("m_category", "product_category_en")} AS top_category,
+       {_top("m_state", "customer_state")} AS top_customer_state,
+       {_top("m_payment", "primary_payment_type")} AS top_payment_type
+FROM summary_totals"""
+_STAMP = ", TIMESTAMP '2024-01-01 00:00:00' AS kpi_generated_ts"
+
 QUERIES: dict[str, str] = {
     "ingest_csv_roundtrip": " UNION ALL ".join(_loaded(name) for name in _SOURCES),
     "ingest_orders_csv": "SELECT * FROM raw_orders",
     "ingest_payments_csv": _doubles("raw_order_payments", "payment_value"),
     "ingest_multiline_csv": "SELECT * FROM raw_order_reviews",
     "ingest_lineage": " UNION ALL ".join(
-        f"SELECT '{t}' AS landed_as, CAST(COUNT(*) AS BIGINT) AS row_count FROM {t}"
+        f"SELECT '{t}' AS landed_as, CAST(COUNT(*) AS BIGINT) AS row_count FROM {_landed(t)}"
         for t in (
             "raw_customers",
             "raw_geolocation",
@@ -276,19 +351,26 @@ QUERIES: dict[str, str] = {
             "raw_sellers",
         )
     ),
-    "ingest_folder_csv": "SELECT * FROM raw_sellers",
+    "ingest_folder_csv": " UNION ALL BY NAME ".join(_as_text(name) for name in _SOURCES),
+    "overwrite_keeps_old": _STEPS,
     "sample_scaling": " UNION ALL ".join(
         f"SELECT CAST({f} AS DOUBLE) AS fraction, CAST(COUNT(*) AS BIGINT) AS row_count FROM raw_orders WHERE {_digest_below(f)}"
         for f in (0.5, 0.1)
     ),
+    "customers_by_state_year": """SELECT customer_state, order_purchase_year,
+       CAST(COUNT(DISTINCT customer_unique_id) AS BIGINT) AS customers, TRUE AS sketch_within_bound
+FROM ord_rev WHERE is_revenue_recognised = 1 AND customer_state IS NOT NULL GROUP BY customer_state, order_purchase_year""",
+    "freight_median_by_state": """SELECT seller_state, CAST(COUNT(*) AS BIGINT) AS order_sellers, TRUE AS sketch_within_bound
+FROM deliv_item WHERE seller_state IS NOT NULL AND order_seller_freight_value IS NOT NULL GROUP BY seller_state""",
     "sample_by_key_half": _sampled_monthly(0.5),
     "sample_by_key_tenth": _sampled_monthly(0.1),
     "dq_warn_counts": " UNION ALL ".join(_rule(*r) for r in _RULES if r[3] == "warn"),
     "dq_report": " UNION ALL ".join(_rule(*r) for r in _RULES),
+    "publish_report": " UNION ALL ".join(_rule(*r) for r in _RULES),
     "dq_drop": """SELECT order_id, payment_sequential, lower(trim(payment_type)) AS payment_type,
        payment_installments, CAST(payment_value AS DOUBLE) AS payment_value
 FROM raw_order_payments WHERE payment_value >= 0""",
-    "dq_all_or_drop": """SELECT * FROM raw_customers
+    "dq_all_or_drop": """SELECT * FROM landed_customers
 WHERE customer_id IS NOT NULL AND customer_zip_code_prefix > 0""",
     "dq_fail": _doubles("pay_order", _AS_DOUBLE["payments_order_agg"]),
     "std_orders": "SELECT *, CAST(year(order_purchase_ts) AS INTEGER) AS order_purchase_year FROM std_ord",
@@ -329,14 +411,9 @@ LEFT JOIN cust_geo c ON o.customer_id = c.customer_id""",
     "revenue_by_category_month": "SELECT * FROM mart_category",
     "revenue_by_state_month": "SELECT * FROM mart_state",
     "revenue_by_payment_type_month": "SELECT * FROM mart_payment",
-    "revenue_exec_summary": f"""
-SELECT *, CASE WHEN total_orders > 0 THEN total_revenue / total_orders END AS aov,
-       CASE WHEN prior_12m_revenue > 0
-            THEN (last_12m_revenue - prior_12m_revenue) / prior_12m_revenue * 100.0 END AS yoy_growth_pct,
-       {_top("m_category", "product_category_en")} AS top_category,
-       {_top("m_state", "customer_state")} AS top_customer_state,
-       {_top("m_payment", "primary_payment_type")} AS top_payment_type
-FROM summary_totals""",
+    "revenue_exec_summary": _EXEC_SUMMARY,
+    "revenue_exec_summary_as_of": f"{_EXEC_SUMMARY.replace('FROM summary_totals', _STAMP + ' FROM summary_totals')}",
+    "delivery_exec_summary_as_of": f"SELECT * {_STAMP} FROM mart_delivery_summary",
     "delivery_state_month": "SELECT * FROM mart_delivery_state",
     "delivery_seller_state_month": "SELECT * FROM mart_delivery_seller",
     "delivery_corridor_month": "SELECT * FROM mart_corridor",
@@ -407,13 +484,14 @@ SELECT volume_segment, CAST(COUNT(*) AS BIGINT) AS customers FROM cust_volume GR
 SELECT MAX(order_purchase_timestamp) AS newest_purchase, MIN(order_purchase_timestamp) AS oldest_purchase,
        CAST(COUNT(DISTINCT customer_unique_id) AS BIGINT) AS customers FROM recent""",
     "null_state_orders": _doubles("ord_rev", _AS_DOUBLE["orders_revenue"], "WHERE customer_state IS NULL"),
-    "row_counts": _counts({name: name for name in _SOURCES}),
+    "row_counts": _counts(_ALL_LANDED),
     "mart_row_counts": _counts(_MARTS),
+    "stored_row_counts": _counts({name: table for name, table in _MARTS.items() if name != "items_per_order"}),
     "row_count_audit": f"""
 SELECT e.table_name, e.row_count AS expected_count, a.row_count AS actual_count,
        a.row_count - e.row_count AS difference,
        CASE WHEN a.row_count = e.row_count THEN 'PASS' ELSE 'FAIL' END AS status
-FROM ({_counts({name: name for name in _SOURCES})}) e
+FROM ({_counts(_ALL_LANDED)}) e
 JOIN (SELECT table_name, rows_kept AS row_count FROM ({" UNION ALL ".join(_loaded(n) for n in _SOURCES)})) a
   ON e.table_name = a.table_name""",
     "payment_profile": """
@@ -459,6 +537,7 @@ FROM item_rev""",
         f"CAST(COUNT(*) FILTER (WHERE s <> 1.0) AS BIGINT) AS months_off FROM {_share_sums(table, share)}"
         for name, (table, share) in _SHARES.items()
     ),
+    "invariant_gate_enforced": " UNION ALL ".join(_check(*c) for c in _CHECKS),
     "invariant_gate": " UNION ALL ".join(_check(*c) for c in _CHECKS),
 }
 

@@ -71,13 +71,19 @@ SELECT DISTINCT lower(p_type) AS product_category_name,
        'en_' || lower(p_type) AS product_category_name_english
 FROM part WHERE p_type NOT LIKE '%PROMO%' AND p_type NOT LIKE '%SMALL%'"""
 
-TABLES["raw_customers"] = """
-SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+# as delivered: some rows come again with no id or no zip code
+TABLES["landed_customers"] = """
+SELECT CASE WHEN again = 0 THEN CAST(c_custkey AS VARCHAR)
+            WHEN c_custkey % 2 = 0 THEN 'x' || CAST(c_custkey AS VARCHAR) END AS customer_id,
        'u' || CAST(c_custkey // 4 AS VARCHAR) AS customer_unique_id,
-       CAST(c_custkey % 97 AS INTEGER) AS customer_zip_code_prefix,
+       CASE WHEN again = 0 THEN CAST(c_custkey % 97 + 1 AS INTEGER) ELSE 0 END AS customer_zip_code_prefix,
        ' City ' || CAST(c_nationkey AS VARCHAR) AS customer_city,
        lower('N' || chr(CAST(65 + c_nationkey AS INTEGER))) AS customer_state
-FROM customer"""
+FROM customer, (SELECT 0 AS again UNION ALL SELECT 1)
+WHERE again = 0 OR c_custkey % 97 = 0"""
+
+TABLES["raw_customers"] = """
+SELECT * FROM landed_customers WHERE customer_id IS NOT NULL AND customer_zip_code_prefix > 0"""
 
 TABLES["raw_sellers"] = """
 SELECT CAST(s_suppkey AS VARCHAR) AS seller_id,
@@ -87,13 +93,13 @@ SELECT CAST(s_suppkey AS VARCHAR) AS seller_id,
 FROM supplier"""
 
 TABLES["raw_geolocation"] = """
-SELECT CASE WHEN k % 5 <> 0 THEN CAST(k % 97 AS VARCHAR) END AS geolocation_zip_code_prefix,
+SELECT CASE WHEN k % 5 <> 0 THEN CAST(k % 97 + first AS VARCHAR) END AS geolocation_zip_code_prefix,
        CAST(CAST(bal AS DECIMAL(18,2)) AS VARCHAR) AS geolocation_lat,
        CAST(-CAST(bal AS DECIMAL(18,2)) AS VARCHAR) AS geolocation_lng,
        ' City ' || CAST(nk AS VARCHAR) AS geolocation_city,
        'N' || chr(CAST(65 + nk AS INTEGER)) AS geolocation_state
-FROM (SELECT c_custkey AS k, c_nationkey AS nk, c_acctbal AS bal FROM customer
-      UNION ALL SELECT s_suppkey, s_nationkey, s_acctbal FROM supplier)"""
+FROM (SELECT c_custkey AS k, c_nationkey AS nk, c_acctbal AS bal, 1 AS first FROM customer
+      UNION ALL SELECT s_suppkey, s_nationkey, s_acctbal, 0 FROM supplier)"""
 
 TABLES["raw_order_reviews"] = """
 SELECT 'r' || CAST(doc_id AS VARCHAR) AS review_id,

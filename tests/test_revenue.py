@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from martloom.plans import conform, revenue
 
@@ -261,3 +262,26 @@ def test_peak_month_prefers_the_later_of_equals(spark):
     fact = order_fact(spark, ("a", _month(2022, 1), 10.0), ("b", _month(2022, 3), 10.0), ("c", _month(2022, 2), 5.0))
     (row,) = revenue.peak_month(revenue.revenue_monthly(fact)).collect()
     assert (row.peak_month, row.peak_month_revenue) == (dt.date(2022, 3, 1), 10.0)
+
+
+def test_types_that_are_not_on_the_list(spark):
+    """Against the plain aggregates, with unknown, missing and known types in every order of value and sequence."""
+    import itertools
+    import random
+
+    from martloom.operators.rollup import distinct_list, heaviest
+
+    draw = random.Random(2)
+    types = ["credit_card", "boleto", "voucher", "debit_card", "not_defined", "pix", "aaa", "cash", "zzz", None, ""]
+    rows = [
+        (str(order), draw.choice([1, 2, 2, 3, None, -4, 2**31 - 1, -(2**31)]), draw.choice(types), draw.choice([1, 3]), draw.choice([0.0, 1.5, 1.5, 99999999.25]))
+        for order, _ in itertools.product(range(400), range(5))
+    ]
+    df = spark.createDataFrame(rows, "order_id string, payment_sequential int, payment_type string, payment_installments int, payment_value double")
+    plain = df.groupBy("order_id").agg(
+        distinct_list("payment_type").alias("payment_type_mix"),
+        heaviest("payment_type", "payment_value", -F.col("payment_sequential").cast("bigint")).alias("primary_payment_type"),
+    )
+    columns = ["order_id", "payment_type_mix", "primary_payment_type"]
+    got = conform.payments_per_order(df).select(*columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.select(*columns).collect()))
