@@ -9,16 +9,21 @@ similarity is at least `percent`; links are confirmed on the full sets. The way
    posted under that prefix only, rarest pairs first; the long lists of common pairs are skipped. Lists are kept
    by size of set as well: sets that can be linked differ in size by less than one step, and each is posted
    under its own step and the next, so they meet in one of the two. Lists with the same members are one list.
-3. A list of a few classes gives all its pairs. A longer list is worked off by hubs: its smallest class is
-   compared with every other, which is linear in the list. Classes linked to the hub are done with each other:
-   they are in one component. Classes that are not go on to the next round as a list of their own, with four
-   times as many hubs, unless links already found put all of it into one component; those of another component that
-   can still match something linked to a hub are paired with just that. The number of differing coordinates
-   is a metric, so only members whose distances to the hub differ by at most `COORDINATES - MATCHES` can match.
-   A list of like texts takes one round, a list of unlike ones as many as its length can be divided by four.
-4. Every posting carries a sketch, four bits of each coordinate, so a pair's agreement is counted where its list
-   is joined and pairs below `MATCHES` never leave the join. Sketches agree wherever signatures do, so none is
-   lost. Pairs that stay are confirmed on the sets, and links give components.
+3. A list of a few classes gives all its pairs. A longer list has a hub, the class whose pairs are the most frequent,
+   so the one most like the others; every member is compared with it, which is linear in the list. Hubs are the same
+   in most lists of one group, and a pair of hub and member is compared once. Members whose sketch matches the
+   hub's leave the list; the others, if there are any, go on as a list of their own with more hubs.
+4. What is not linked to the hub may still be linked to something near it. The comparison gives each member's
+   differences from the hub, what it lacks and what it has besides. Sets that differ in d items of a hub of M items
+   and in a others share M - dx - dy + s items, with s common differences. Two sets not both linked to
+   the hub can only be linked if they have common differences, and each must have a computable share of its own
+   among them. So members are posted under a prefix of their differences, rarest first, and only those meet
+   that share a rare one and are not known to be of one component. A group of like texts where half are
+   linked with each other and half with nothing costs its differences, not its pairs.
+5. Every posting carries a sketch, four bits of each coordinate. Sketches agree wherever signatures do, and the number of
+   coordinates where they differ is a metric: what matches a member that matches the hub differs from the hub in
+   at most twice `COORDINATES - MATCHES`, so members beyond that need no differences. Pairs that stay
+   are confirmed on the sets, and links give components.
 
 A pair at exactly 80 % has MATCHES or more equal coordinates with probability over 0.9999.
 
@@ -115,7 +120,9 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def prefixes(classes: DataFrame, percent: int, matches: int = MATCHES) -> DataFrame:
-    """Postings (list, node, sketch) of each class's prefix: its rarest pairs that other classes have too.
+    """Postings (list, node, sketch, central) of each class's prefix: its rarest pairs that other classes have too.
+
+    `central` is the sum of the frequencies of a class's pairs: its agreement with all other classes together.
 
     Pairs that one class alone has come first in the order, so a class with enough of them needs no posting.
     """
@@ -124,27 +131,30 @@ def prefixes(classes: DataFrame, percent: int, matches: int = MATCHES) -> DataFr
         "node", (F.shiftleft(F.col("coordinate").cast("bigint"), 32) + F.col("value").cast("bigint") + F.lit(1 << 31)).alias("pair")
     )
     shared = postings.groupBy("pair").agg(F.count("*").alias("frequency")).where("frequency > 1")
-    ranked = postings.join(shared, "pair").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("frequency", "pair"))).alias("pairs"))
+    ranked = postings.join(shared, "pair").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("frequency", "pair"))).alias("pairs"), F.sum("frequency").alias("central")
+    )
     # of COORDINATES pairs, those missing here are the class's own and stand before all others
     kept = F.slice("pairs", F.lit(1), F.greatest(F.lit(length) - (F.lit(COORDINATES) - F.size("pairs")), F.lit(0)))
     step = F.floor(F.ln("n_shingles") / F.lit(math.log(100 / percent) + 1e-9)).cast("bigint")
     sized = ranked.join(classes.select("node", step.alias("step"), "sketch"), "node")
-    return sized.select("node", F.explode(kept).alias("p"), "step", "sketch").select(
-        "node", F.explode(F.array(*[F.shiftleft(F.col("p.pair"), 8) + F.col("step") + k for k in (0, 1)])).alias("list"), "sketch"
+    return sized.select("node", F.explode(kept).alias("p"), "step", "sketch", "central").select(
+        "node", F.explode(F.array(*[F.shiftleft(F.col("p.pair"), 8) + F.col("step") + k for k in (0, 1)])).alias("list"), "sketch", "central"
     )
 
 
 def distinct_lists(lists: DataFrame) -> DataFrame:
-    """The lists of two or more components, one of those with the same members: list, least, members."""
+    """The lists of two or more components, one of those with the same members: list, hub, members."""
     sized = lists.groupBy("list").agg(
-        F.min("node").alias("least"),
+        F.max(F.struct("central", "node")).alias("top"),
         F.count("*").alias("members"),
         F.min("root").alias("low"),
         F.max("root").alias("high"),
         F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
     )
-    return sized.where("low < high").groupBy("least", "members", "x", "y").agg(F.min("list").alias("list")).drop("x", "y")
+    several = sized.where("low < high").select("list", F.col("top.node").alias("hub"), "members", "x", "y")
+    return several.groupBy("hub", "members", "x", "y").agg(F.min("list").alias("list")).drop("x", "y")
 
 
 def _agreeing(a: str, b: str) -> Column:
@@ -157,6 +167,32 @@ def _agreeing(a: str, b: str) -> Column:
     return F.lit(COORDINATES) - differing
 
 
+class _Sets:
+    """Sets of the texts a task has seen, up to a bound in bytes."""
+
+    def __init__(self, width: int):
+        self.width, self.known, self.held = width, {}, 0
+
+    def of(self, text: bytes) -> np.ndarray:
+        if text not in self.known:
+            self.held += 10 * len(text)
+            if self.held > SETS_HELD:
+                self.known.clear()
+                self.held = 10 * len(text)
+            self.known[text] = shingle_set(text, self.width)
+        return self.known[text]
+
+
+def _hubs(members: DataFrame, each: int) -> DataFrame:
+    """The most central members of every list: one, or the first `each`, found among the first of 32 shares of the list."""
+    if each == 1:
+        return members.where("node = hub").drop("hub")
+    order = [F.desc("central"), F.desc("node")]
+    share = F.pmod(F.col("node"), F.lit(32))
+    first = members.withColumn("place", F.row_number().over(Window.partitionBy("list", share).orderBy(*order))).where(F.col("place") <= each)
+    return first.withColumn("place", F.row_number().over(Window.partitionBy("list").orderBy(*order))).where(F.col("place") <= each).drop("hub")
+
+
 class _Search:
     """The lists of one run: what has been linked, and what is left to compare."""
 
@@ -164,28 +200,20 @@ class _Search:
         self.work, self.nodes, self.texts = work, nodes, texts
         self.width, self.percent, self.matches = width, percent, matches
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """The links among `pairs` (a, b), compared on their full sets."""
+    def _with_texts(self, pairs: DataFrame) -> DataFrame:
         left = self.texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
         right = self.texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+        return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The links among `pairs` (a, b), compared on their full sets."""
         width, percent = self.width, self.percent
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known: dict[bytes, np.ndarray] = {}
-            held = 0
-
-            def of(text: bytes) -> np.ndarray:
-                nonlocal held
-                if text not in known:
-                    held += 10 * len(text)
-                    if held > SETS_HELD:
-                        known.clear()
-                        held = 10 * len(text)
-                    known[text] = shingle_set(text, width)
-                return known[text]
+            sets = _Sets(width)
 
             def linked(x: bytes, y: bytes) -> bool:
-                one, two = of(x), of(y)
+                one, two = sets.of(x), sets.of(y)
                 if 100 * min(len(one), len(two)) < percent * max(len(one), len(two)):
                     return False
                 common = len(np.intersect1d(one, two, assume_unique=True))
@@ -195,10 +223,58 @@ class _Search:
                 flags = [linked(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
                 yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(flags, pa.bool_()))
 
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(compare, "a bigint, b bigint")
+        return self._with_texts(pairs).mapInArrow(compare, "a bigint, b bigint")
+
+    def differences(self, pairs: DataFrame) -> DataFrame:
+        """Per (hub, node): whether they are linked, how many shared differences another member needs with the node
+        at least, and the differences as hashes."""
+        width, percent = self.width, self.percent
+
+        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sets = _Sets(width)
+            for batch in batches:
+                flags, needs, items = [], [], []
+                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                    hub, node = sets.of(x), sets.of(y)
+                    lacks = np.setdiff1d(hub, node, assume_unique=True)
+                    more = np.setdiff1d(node, hub, assume_unique=True)
+                    common = len(hub) - len(lacks)
+                    flags.append(100 * common >= percent * (len(hub) + len(more)))
+                    # (100 + percent) * s >= weight of both sets' differences - slack, from the counts in the module's text
+                    weight = 100 * len(lacks) + percent * len(more)
+                    slack = (100 - percent) * len(hub)
+                    needs.append(weight // (100 + percent) + 1 if flags[-1] else max(1, -(-(weight - slack) // (100 + percent))))
+                    items.append(np.concatenate([lacks, more]).view(np.int64))
+                columns = [*batch.columns[:2], pa.array(flags, pa.bool_()), pa.array(needs, pa.int32()), pa.array(items, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["hub", "node", "linked", "needs", "items"])
+
+        ends = pairs.select(F.col("hub").alias("a"), F.col("node").alias("b"))
+        return self._with_texts(ends).mapInArrow(compare, "hub bigint, node bigint, linked boolean, needs int, items array<bigint>")
+
+    def near_hubs(self, different: DataFrame, roots: DataFrame) -> DataFrame:
+        """Pairs (a, b) of members of one hub, not both linked to it and of different components, that share enough rare
+        differences to be linked."""
+        each = different.select("hub", "node", "linked", F.explode("items").alias("item"))
+        rooted = roots.select(F.col("node").alias("of"), "root")
+        counted = each.groupBy("hub", "item").agg(F.count("*").alias("frequency"), F.count_if(~F.col("linked")).alias("loose"))
+        shared = counted.where("frequency > 1 AND loose > 0").select("hub", "item", "frequency")
+        listed = each.join(shared, ["hub", "item"]).groupBy("hub", "node").agg(F.sort_array(F.collect_list(F.struct("frequency", "item"))).alias("shared"))
+        # items that one member alone has stand first in the order, so they use up the prefix unposted
+        own = F.size("items") - F.size("shared")
+        kept = F.slice("shared", F.lit(1), F.greatest(F.size("items") - F.col("needs") + 1 - own, F.lit(0)))
+        posted = (
+            different.join(listed, ["hub", "node"])
+            .join(rooted, F.col("node") == F.col("of"), "left")
+            .select("hub", "node", "linked", F.coalesce("root", "node").alias("root"), F.explode(kept).alias("p"))
+            .select("hub", "node", "linked", "root", F.col("p.item").alias("item"))
+        )
+        posted = self.work.table(posted, "differences-posted")
+        loose = posted.where("not linked").select(F.col("hub").alias("h"), F.col("item").alias("i"), F.col("node").alias("x"), F.col("root").alias("rx"))
+        met = loose.join(posted, (F.col("h") == F.col("hub")) & (F.col("i") == F.col("item")) & (F.col("rx") != F.col("root")))
+        return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
     def links(self, lists: DataFrame) -> DataFrame:
-        """Links that connect whatever the lists (list, node, sketch) can connect."""
+        """Links that connect whatever the lists (list, node, sketch, central) can connect."""
         work, far = self.work, COORDINATES - self.matches
         found = work.table(self.nodes.where("false").select(F.col("node").alias("a"), F.col("node").alias("b")), "links")
         waiting: list[DataFrame] = []
@@ -215,43 +291,20 @@ class _Search:
             long = members.where(F.col("members") > SHORT_LIST)
             if long.isEmpty():
                 break
-            if hubs_each == 1:  # the first round orders no list
-                hubs = long.where("node = least")
-            else:
-                place = F.row_number().over(Window.partitionBy("list").orderBy("node"))
-                hubs = long.withColumn("place", place).where(F.col("place") <= hubs_each)
-            hubs = hubs.select("list", F.col("node").alias("hub"), F.col("sketch").alias("hub_sketch"))
-            against = long.select("list", "node", "sketch").join(hubs, "list").where("node <> hub")
-            ends = F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
-            against = work.table(against.select("list", "hub", "node", "sketch", *ends, _agreeing("sketch", "hub_sketch").alias("agree")), "against")
-            new = work.table(self.linked(against.where(F.col("agree") >= self.matches).select("a", "b").distinct()), "linked")
-            marked = new.withColumn("linked", F.lit(True))
-            judged = work.table(against.join(marked, ["a", "b"], "left").select("list", "hub", "node", "sketch", "agree", F.coalesce("linked", F.lit(False)).alias("linked")), "judged")
-            work.drop(against)
+            hubs = _hubs(long, hubs_each).select("list", F.col("node").alias("hub"), F.col("sketch").alias("hub_sketch"))
+            against = long.select("list", "node", "sketch", "central").join(hubs, "list")
+            against = against.withColumn("agree", F.when(F.col("node") == F.col("hub"), COORDINATES).otherwise(_agreeing("sketch", "hub_sketch")))
+            pairs = against.where((F.col("node") != F.col("hub")) & (F.col("agree") >= COORDINATES - 2 * far)).select("hub", "node").distinct()
+            different = work.table(self.differences(pairs), "different")
+            new = different.where("linked").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
             found = work.table(found.union(new), "found")
             roots = work.table(components(work, found), "roots")
-            best = F.max(F.when(F.col("linked"), F.struct("agree", "hub")))
-            state = judged.groupBy("list", "node").agg(F.max("linked").alias("linked"), best.alias("best"), F.first("sketch").alias("sketch"))
-            # hubs have met all others, so the rest is what is neither linked nor a hub
-            used = judged.select("list", F.col("hub").alias("node")).distinct()
-            rest = state.where("not linked").select("list", "node", "sketch").join(used, ["list", "node"], "left_anti")
-            rest = work.table(rest.join(roots, "node", "left").select("list", "node", "sketch", F.coalesce("root", "node").alias("root")), "rest")
-            # the rest against what is linked to a hub, and so of the hub's component, as far as the metric lets them match
-            placed = state.where("linked").select("list", F.col("best.hub").alias("hub"), F.col("node").alias("y"), F.col("best.agree").alias("y_agree"), F.col("sketch").alias("sy"))
-            hub_roots = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-            loose = (
-                judged.where(F.col("agree") >= COORDINATES - 2 * far)
-                .drop("sketch")
-                .join(rest, ["list", "node"])
-                .join(hub_roots, "hub")
-                .where("root <> hub_root")
-                .select(F.col("list").alias("x_list"), F.col("hub").alias("x_hub"), F.col("node").alias("x"), F.col("agree").alias("x_agree"), F.col("sketch").alias("sx"))
-            )
-            same = (F.col("list") == F.col("x_list")) & (F.col("hub") == F.col("x_hub"))
-            close = (F.abs(F.col("x_agree") - F.col("y_agree")) <= far) & (_agreeing("sx", "sy") >= self.matches)
-            border = loose.join(placed, same & close)
-            waiting.append(work.table(border.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "border"))
-            lists = rest
+            waiting.append(work.table(self.near_hubs(different, roots), "near-hubs"))
+            work.drop(different)
+            # what matches no hub goes on; a pair with one end that does is among those near the hub
+            best = against.groupBy("list", "node").agg(F.max("agree").alias("agree"), F.first("sketch").alias("sketch"), F.first("central").alias("central"))
+            rest = best.where(F.col("agree") < self.matches).join(roots, "node", "left")
+            lists = work.table(rest.select("list", "node", "sketch", "central", F.coalesce("root", "node").alias("root")), "rest")
             hubs_each *= 4
         pairs = reduce(DataFrame.union, waiting).distinct()
         if roots is not None:

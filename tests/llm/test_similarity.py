@@ -130,6 +130,29 @@ def test_large_groups_by_hubs(spark):
         assert found(docs, width) == exact_components(texts, width)
 
 
+@pytest.mark.parametrize("short", [2, 16])
+def test_group_of_which_half_is_linked_with_nothing(spark, monkeypatch, short):
+    """Copies of two related texts with few to many edits: hubs, their differences and several rounds of hubs."""
+    monkeypatch.setattr(near_duplicates, "SHORT_LIST", short)
+    draw = np.random.default_rng(8)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    base = list(draw.choice(vocabulary, 110))
+    related = list(base)
+    for at in draw.integers(0, 110, 14):
+        related[at] = str(draw.choice(vocabulary))
+    rows = []
+    for k in range(260):
+        copy = list(base if k % 3 else related)
+        for at in draw.integers(0, 110, int(draw.integers(0, 30))):
+            copy[at] = str(draw.choice(vocabulary if k % 5 else vocabulary[:20]))
+        rows.append(" ".join(copy[: 110 - int(draw.integers(0, 9))]))
+    unlike = [" ".join(base[:8] + list(draw.choice(vocabulary[:60], int(draw.integers(5, 30))))) for _ in range(80)]
+    texts = list(enumerate(rows + unlike))
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(5)
+    for width in (2, 5):
+        assert found(docs, width) == exact_components(texts, width)
+
+
 def test_one_of_each_keeps_rows(edge_docs, empty_docs):
     kept = near_duplicates.one_of_each(edge_docs)
     assert kept.columns == edge_docs.columns
