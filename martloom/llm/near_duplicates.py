@@ -144,16 +144,14 @@ def prefixes(classes: DataFrame, percent: int, matches: int = MATCHES) -> DataFr
 
 
 def distinct_lists(lists: DataFrame) -> DataFrame:
-    """The lists of two or more components, one of those with the same members: list, hub, members."""
+    """The lists of two or more members, one of those with the same members: list, hub, members."""
     sized = lists.groupBy("list").agg(
         F.max(F.struct("central", "node")).alias("top"),
         F.count("*").alias("members"),
-        F.min("root").alias("low"),
-        F.max("root").alias("high"),
         F.bit_xor(F.xxhash64("node")).alias("x"),
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
     )
-    several = sized.where("low < high").select("list", F.col("top.node").alias("hub"), "members", "x", "y")
+    several = sized.where("members > 1").select("list", F.col("top.node").alias("hub"), "members", "x", "y")
     return several.groupBy("hub", "members", "x", "y").agg(F.min("list").alias("list")).drop("x", "y")
 
 
@@ -251,11 +249,9 @@ class _Search:
         ends = pairs.select(F.col("hub").alias("a"), F.col("node").alias("b"))
         return self._with_texts(ends).mapInArrow(compare, "hub bigint, node bigint, linked boolean, needs int, items array<bigint>")
 
-    def near_hubs(self, different: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs (a, b) of members of one hub, not both linked to it and of different components, that share enough rare
-        differences to be linked."""
+    def near_hubs(self, different: DataFrame) -> DataFrame:
+        """Pairs (a, b) of members of one hub, not both linked to it, that share enough rare differences to be linked."""
         each = different.select("hub", "node", "linked", F.explode("items").alias("item"))
-        rooted = roots.select(F.col("node").alias("of"), "root")
         counted = each.groupBy("hub", "item").agg(F.count("*").alias("frequency"), F.count_if(~F.col("linked")).alias("loose"))
         shared = counted.where("frequency > 1 AND loose > 0").select("hub", "item", "frequency")
         listed = each.join(shared, ["hub", "item"]).groupBy("hub", "node").agg(F.sort_array(F.collect_list(F.struct("frequency", "item"))).alias("shared"))
@@ -264,28 +260,27 @@ class _Search:
         kept = F.slice("shared", F.lit(1), F.greatest(F.size("items") - F.col("needs") + 1 - own, F.lit(0)))
         posted = (
             different.join(listed, ["hub", "node"])
-            .join(rooted, F.col("node") == F.col("of"), "left")
-            .select("hub", "node", "linked", F.coalesce("root", "node").alias("root"), F.explode(kept).alias("p"))
-            .select("hub", "node", "linked", "root", F.col("p.item").alias("item"))
+            .select("hub", "node", "linked", F.explode(kept).alias("p"))
+            .select("hub", "node", "linked", F.col("p.item").alias("item"))
         )
         posted = self.work.table(posted, "differences-posted")
-        loose = posted.where("not linked").select(F.col("hub").alias("h"), F.col("item").alias("i"), F.col("node").alias("x"), F.col("root").alias("rx"))
-        met = loose.join(posted, (F.col("h") == F.col("hub")) & (F.col("i") == F.col("item")) & (F.col("rx") != F.col("root")))
+        loose = posted.where("not linked").select(F.col("hub").alias("h"), F.col("item").alias("i"), F.col("node").alias("x"))
+        # two loose members meet once
+        apart = (F.col("x") < F.col("node")) | (F.col("linked") & (F.col("x") != F.col("node")))
+        met = loose.join(posted, (F.col("h") == F.col("hub")) & (F.col("i") == F.col("item")) & apart)
         return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
 
     def links(self, lists: DataFrame) -> DataFrame:
         """Links that connect whatever the lists (list, node, sketch, central) can connect."""
         work, far = self.work, COORDINATES - self.matches
-        found = work.table(self.nodes.where("false").select(F.col("node").alias("a"), F.col("node").alias("b")), "links")
+        found: list[DataFrame] = []
         waiting: list[DataFrame] = []
-        roots = None
-        lists = lists.withColumn("root", F.col("node"))
         hubs_each = 1
         while True:
             members = work.table(lists.join(distinct_lists(lists), "list"), "members")
             short = members.where(F.col("members") <= SHORT_LIST)
-            ends = [short.select("list", F.col("node").alias(n), F.col("root").alias(f"r{n}"), F.col("sketch").alias(f"s{n}")) for n in "ab"]
-            apart = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (_agreeing("sa", "sb") >= self.matches)
+            ends = [short.select("list", F.col("node").alias(n), F.col("sketch").alias(f"s{n}")) for n in "ab"]
+            apart = (F.col("a") < F.col("b")) & (_agreeing("sa", "sb") >= self.matches)
             met = ends[0].join(ends[1].withColumnRenamed("list", "other"), (F.col("list") == F.col("other")) & apart)
             waiting.append(work.table(met.select("a", "b").distinct(), "short"))
             long = members.where(F.col("members") > SHORT_LIST)
@@ -296,27 +291,34 @@ class _Search:
             against = against.withColumn("agree", F.when(F.col("node") == F.col("hub"), COORDINATES).otherwise(_agreeing("sketch", "hub_sketch")))
             pairs = against.where((F.col("node") != F.col("hub")) & (F.col("agree") >= COORDINATES - 2 * far)).select("hub", "node").distinct()
             different = work.table(self.differences(pairs), "different")
-            new = different.where("linked").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-            found = work.table(found.union(new), "found")
-            roots = work.table(components(work, found), "roots")
-            waiting.append(work.table(self.near_hubs(different, roots), "near-hubs"))
-            work.drop(different)
+            found.append(different.where("linked").select("hub", "node"))
+            waiting.append(work.table(self.near_hubs(different), "near-hubs"))
             # what matches no hub goes on; a pair with one end that does is among those near the hub
             best = against.groupBy("list", "node").agg(F.max("agree").alias("agree"), F.first("sketch").alias("sketch"), F.first("central").alias("central"))
-            rest = best.where(F.col("agree") < self.matches).join(roots, "node", "left")
-            lists = work.table(rest.select("list", "node", "sketch", "central", F.coalesce("root", "node").alias("root")), "rest")
+            lists = work.table(best.where(F.col("agree") < self.matches).drop("agree"), "rest")
             hubs_each *= 4
         pairs = reduce(DataFrame.union, waiting).distinct()
-        if roots is not None:
-            for end in ("a", "b"):
-                known = roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
-                pairs = pairs.join(known, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
-            pairs = pairs.where("ra <> rb").select("a", "b")
-        return found.union(self.linked(pairs))
+        if not found:
+            return self.linked(pairs)
+        # pairs that are linked to one hub need no comparison
+        stars = work.table(reduce(DataFrame.union, found).distinct(), "stars")
+        near = stars.union(stars.select("hub", F.col("hub").alias("node"))).groupBy("node").agg(F.min("hub").alias("hub"))
+        near = work.table(near, "near")
+        for end in ("a", "b"):
+            pairs = pairs.join(near.select(F.col("node").alias(end), F.col("hub").alias(f"h{end}")), end, "left")
+        pairs = pairs.where("NOT (ha <=> hb) OR ha IS NULL").select("a", "b")
+        links = stars.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+        return links.union(self.linked(pairs))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, matches: int = MATCHES) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (the smallest id that links lead to) and kept."""
+    found = _components_of(docs, width, percent, matches).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _components_of(docs: DataFrame, width: int, percent: int, matches: int) -> DataFrame:
+    """Per row: doc_id, text_hash, n_shingles, and the id and text hash of the first row of its component."""
     work = Workspace(docs.sparkSession, "near-duplicates")
     rows = work.table(signed(docs, width), "signatures")
     name = ["class_high", "class_low"]
@@ -330,36 +332,39 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, matches:
         "classes",
     )
     posted = prefixes(classes, percent, matches)
-    several = posted.withColumn("root", F.col("node"))
-    lists = work.table(posted.join(distinct_lists(several).select("list"), "list"), "postings")
+    lists = work.table(posted.join(distinct_lists(posted).select("list"), "list"), "postings")
     active = lists.select("node").distinct().join(classes, "node").select("node", F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"))
     texts = _texts(docs).join(active, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")))
     texts = work.table(texts.select("node", "text"), "texts").dropDuplicates(["node"])
     search = _Search(work, classes.select("node"), texts, width, percent, matches)
     links = work.table(search.links(lists), "links")
-    rooted = classes.select(*name, "node", "doc_id").join(components(work, links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = rows.join(rooted.join(least, "root").select(*name, "component_id"), name, "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    rooted = classes.select(*name, "node", "doc_id", "text_hash").join(components(work, links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")).alias("least"))
+    found = rows.join(rooted.join(least, "root").select(*name, "least"), name, "left")
+    known = F.col("n_shingles") > 0
+    return found.select(
+        "doc_id",
+        "text_hash",
+        "n_shingles",
+        F.when(known, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(known, F.col("least.text_hash")).otherwise(F.col("text_hash")).alias("component_hash"),
     )
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of its component; rows that repeat an id and text stay once.
-
-    Ids that occur once need no further look; for the others rows are compared by id and text.
+    """The rows of `docs` that stand for their components: the smallest id, of rows that share it the smallest text hash,
+    and of rows that share both any one. Texts without words stand for themselves.
     """
     work = Workspace(docs.sparkSession, "one-of-each")
-    found = near_duplicates(docs, width, percent).where("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows"))
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("component_hash"))
+    found = _components_of(docs, width, percent, MATCHES).where(first).groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows"))
     kept = work.table(found, "kept")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    carried = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(text_of()).alias("text_hash"), row.alias("row"))
+    carried = docs.select(F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(text_of()).alias("hash"), row.alias("row"))
 
     def joined(wanted: DataFrame) -> DataFrame:
-        return carried.join(wanted.select("kept_id"), F.col("id").eqNullSafe(F.col("kept_id")))
+        return carried.join(wanted.select("doc_id", "text_hash"), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")))
 
     single = joined(kept.where("rows = 1")).select("row.*")
-    repeated = joined(kept.where("rows > 1")).dropDuplicates(["id", "text_hash"]).select("row.*")
+    repeated = joined(kept.where("rows > 1")).dropDuplicates(["id", "hash"]).select("row.*")
     return single.unionByName(repeated)

@@ -160,6 +160,15 @@ def test_one_of_each_keeps_rows(edge_docs, empty_docs):
     assert near_duplicates.one_of_each(empty_docs).collect() == []
 
 
+def test_one_of_each_where_ids_repeat(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(7, base), (7, base + " tail"), (5, "another text of some words"), (5, base + " end"), (9, base), (None, base), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id bigint, text string, hash string")
+    kept = [(r["doc_id"], r["text"]) for r in near_duplicates.one_of_each(docs).collect()]
+    assert len(kept) == 3 and (5, "another text of some words") in kept and (3, "") in kept
+    assert [d for d, t in kept if t.startswith("w0")] == [5]
+
+
 # --- vectors ------------------------------------------------------------------------------------
 
 
@@ -183,13 +192,24 @@ def test_cap_filters_find_near_vectors(spark):
 
 
 def test_cap_filter_recall(spark):
-    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
-    rows = table.orderBy("vec_id").collect()
+    """Near vectors planted in the given table, at cosines from 0.95 to 0.96; the table itself has none."""
+    draw = np.random.default_rng(9)
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").select("vec_id", "embedding").collect()
     x = np.array([r["embedding"] for r in rows], float)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    exact = sum(int((x[k : k + 1000] @ x.T >= 0.95).sum()) for k in range(0, len(x), 1000)) - len(x)
+    chosen = x[draw.choice(len(x), 300, replace=False)]
+    away = draw.standard_normal(chosen.shape)
+    away -= (away * chosen).sum(1, keepdims=True) * chosen
+    cosine = draw.uniform(0.951, 0.96, (300, 1))
+    near = cosine * chosen + np.sqrt(1 - cosine**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    table = spark.createDataFrame(
+        [(k, [float(c) for c in v]) for k, v in enumerate(np.concatenate([x, near]))], "vec_id bigint, embedding array<double>"
+    )
+    y = np.concatenate([x, near])
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    exact = sum(int((y[k : k + 1000] @ y.T >= 0.95).sum()) for k in range(0, len(y), 1000)) - len(y)
     got = cap_filters.near_duplicates(table).agg(F.sum("n_links")).first()[0]
-    assert got <= exact and got >= 0.99 * exact
+    assert exact >= 600 and 0.97 * exact <= got <= exact
 
 
 @pytest.mark.parametrize("size", [2, 3, 8, 32, 64])
