@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from martloom.llm.support import Workspace, text_of
 
-COORDINATES = 32
+COORDINATES = 40
 SCALE = 1 << 20
 BLANK = r"[\x20\x09-\x0D]+"
 

@@ -6,8 +6,10 @@ are one type; so every text has an exact, proper likelihood.
 
 Counts of all words stay a distributed table. Only the most frequent words of at most `LONGEST` bytes,
 no more than `head_words` of them, go to the workers (a bounded table); rarer words meet their counts in a join on the word.
+Where the bound falls among words of one count, a part of them goes, chosen by hash.
 Expected counts of an iteration are summed per partition, then by symbol; the driver gets one row for each
-symbol. Training cuts texts into segments of `SEGMENT` symbols; every symbol of the training texts counts.
+symbol. Training cuts texts into segments of `SEGMENT` symbols; every symbol of the training texts counts, every
+transition but those between two segments, and starts at the beginnings of texts.
 Scoring runs the scaled forward recursion over whole texts, however long.
 
 A null text is empty: just the end. A null id counts as empty text for the choice of held-out rows.
@@ -29,6 +31,7 @@ from martloom.llm.support import LOWER, Workspace, text_of
 HEAD_WORDS = 131_072
 STATE_WORDS = 16_384
 LONGEST = 64
+TIE_SHARES = 4096  # words of one count are let in by so many shares
 STATES = 8
 ITERATIONS = 4
 SEGMENT = 256
@@ -108,8 +111,18 @@ def vocabulary(counts: DataFrame, n_ends: int, head_words: int = HEAD_WORDS, sta
     # the least count that leaves no more than `head_words` words, from the number of words of each count
     ranked = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
     frequencies = short.groupBy("n").agg(F.count("*").alias("words")).withColumn("so_far", F.sum("words").over(ranked))
-    least = frequencies.where(F.col("so_far") <= head_words).agg(F.min("n")).first()[0]
-    head = sorted(short.where(F.col("n") >= least).collect(), key=lambda r: (-r["n"], bytes(r["word"]))) if least else []
+    fits = frequencies.where(F.col("so_far") <= head_words).agg(F.min("n").alias("least"), F.max("so_far").alias("words")).first()
+    tie = frequencies.where(F.col("so_far") > head_words).agg(F.max("n")).first()[0]
+    chosen = F.col("n") >= fits["least"] if fits["least"] is not None else F.lit(False)
+    if tie is not None:  # of the words of the next count, as many shares as there is room for
+        share = F.pmod(F.xxhash64("word"), F.lit(TIE_SHARES))
+        shares = short.where(F.col("n") == tie).groupBy(share.alias("share")).agg(F.count("*").alias("words"))
+        upto = F.sum("words").over(Window.orderBy("share").rowsBetween(Window.unboundedPreceding, 0))
+        room = head_words - (fits["words"] or 0)
+        last = shares.withColumn("upto", upto).where(F.col("upto") <= room).agg(F.max("share")).first()[0]
+        if last is not None:
+            chosen = chosen | ((F.col("n") == tie) & (share <= last))
+    head = sorted(short.where(chosen).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
     return Vocabulary(
         [bytes(r["word"]) for r in head],
         np.array([r["n"] for r in head], "i8"),
@@ -260,10 +273,13 @@ def train(rows: DataFrame, words: Vocabulary, states: int = STATES, iterations:
             now = shared.value
             start, moves, emits = np.zeros_like(now.start), np.zeros_like(now.moves), np.zeros_like(now.emits)
             for _, parts in _grouped(batches, 0):
-                cut = sorted((p[a : a + SEGMENT] for p in parts for a in range(0, len(p), SEGMENT)), key=len)
-                for a in range(0, len(cut), 1024):
-                    for total, more in zip((start, moves, emits), expected_counts(now, cut[a : a + 1024])):
-                        total += more
+                # only what begins a text says how texts begin
+                begins = sorted((p[:SEGMENT] for p in parts), key=len)
+                later = sorted((p[a : a + SEGMENT] for p in parts for a in range(SEGMENT, len(p), SEGMENT)), key=len)
+                for cut, totals in ((begins, (start, moves, emits)), (later, (np.zeros_like(start), moves, emits))):
+                    for a in range(0, len(cut), 1024):
+                        for total, more in zip(totals, expected_counts(now, cut[a : a + 1024])):
+                            total += more
             # moves as symbols -1, -2, ..., the start after them
             seen = np.flatnonzero(emits.sum(1))
             symbols = np.concatenate([seen, -1 - np.arange(states + 1)]).astype("i4")

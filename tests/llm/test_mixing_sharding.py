@@ -64,6 +64,34 @@ def test_sizes_and_checksums(edge_docs):
     assert got == Counter((d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t, _ in TEXTS)
 
 
+def test_placement_equals_a_walk_round_the_ring(sized_docs, edge_docs):
+    """Row by row: in step k the shard of the k-th place clockwise takes the next rows of each arc while it has room."""
+    from hashlib import md5
+
+    def spot(r):
+        text = f"{r.text_crc32}:text" if r.doc_id is None else f"{r.doc_id}"
+        return int(md5(text.encode()).hexdigest()[:15], 16)
+
+    for docs, slack in ((sized_docs, 0.0), (sized_docs, 0.2), (edge_docs, 0.0)):
+        rows = sharding.shard_rows(docs, shards=9, nodes=8, slack=slack).collect()
+        places, owners = sharding.ring(9, 8)
+        arcs = [[] for _ in places]
+        for r in sorted(rows, key=lambda r: (spot(r), r.doc_id or 0, r.text_crc32, r.size)):
+            arcs[int(np.searchsorted(places, spot(r), side="left")) % len(places)].append(r)
+        share = [len(rows) // 9 + (s < len(rows) % 9) for s in range(9)]
+        room = [max(n, int(n * (1 + slack))) for n in share]
+        slots, shard_of = Counter(), Counter()
+        for step in range(len(places)):
+            for a, arc in enumerate(arcs):
+                shard = int(owners[(a + step) % len(places)])
+                while arc and room[shard]:
+                    r = arc.pop(0)
+                    shard_of[r.doc_id, r.size, r.text_crc32, shard, slots[shard]] += 1
+                    room[shard] -= 1
+                    slots[shard] += 1
+        assert shard_of == Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in rows)
+
+
 def test_overflow_goes_clockwise():
     loads, owners = np.array([5, 1, 0, 2]), np.array([0, 1, 2, 0])
     runs = sharding.settle(loads, owners, np.array([3, 3, 2]))
