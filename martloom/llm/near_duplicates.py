@@ -50,6 +50,7 @@ MATCHES = 38
 SHORT_LIST = 16  # lists up to here give all their pairs: at most half as many for each member
 SETS_HELD = 64 << 20  # bytes of texts and sets a task keeps while it compares
 SIGNED_ROW = "doc_id bigint, text_hash bigint, n_shingles bigint, class_high bigint, class_low bigint, signature array<int>, sketch struct<s0:bigint,s1:bigint,s2:bigint,s3:bigint>"
+DIFFERENT_ROW = "hub bigint, node bigint, linked boolean, needs int, weight bigint, slack bigint, items array<bigint>"
 SKETCH = ["s0", "s1", "s2", "s3"]  # 16 coordinates each
 LOW_BITS = 0x1111111111111111
 
@@ -225,13 +226,13 @@ class _Search:
 
     def differences(self, pairs: DataFrame) -> DataFrame:
         """Per (hub, node): whether they are linked, how many shared differences another member needs with the node
-        at least, and the differences as hashes."""
+        at least, what the node's differences weigh, the hub's slack, and the differences as hashes."""
         width, percent = self.width, self.percent
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = _Sets(width)
             for batch in batches:
-                flags, needs, items = [], [], []
+                flags, needs, items, spare = [], [], [], []
                 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                     hub, node = sets.of(x), sets.of(y)
                     lacks = np.setdiff1d(hub, node, assume_unique=True)
@@ -243,14 +244,17 @@ class _Search:
                     slack = (100 - percent) * len(hub)
                     needs.append(weight // (100 + percent) + 1 if flags[-1] else max(1, -(-(weight - slack) // (100 + percent))))
                     items.append(np.concatenate([lacks, more]).view(np.int64))
-                columns = [*batch.columns[:2], pa.array(flags, pa.bool_()), pa.array(needs, pa.int32()), pa.array(items, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["hub", "node", "linked", "needs", "items"])
+                    spare.append((weight, slack))
+                weights, slacks = zip(*spare) if spare else ((), ())
+                columns = [*batch.columns[:2], pa.array(flags, pa.bool_()), pa.array(needs, pa.int32()), pa.array(weights, pa.int64()), pa.array(slacks, pa.int64()), pa.array(items, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["hub", "node", "linked", "needs", "weight", "slack", "items"])
 
         ends = pairs.select(F.col("hub").alias("a"), F.col("node").alias("b"))
-        return self._with_texts(ends).mapInArrow(compare, "hub bigint, node bigint, linked boolean, needs int, items array<bigint>")
+        return self._with_texts(ends).mapInArrow(compare, DIFFERENT_ROW)
 
-    def near_hubs(self, different: DataFrame) -> DataFrame:
-        """Pairs (a, b) of members of one hub, not both linked to it, that share enough rare differences to be linked."""
+    def near_hubs(self, different: DataFrame, roots: DataFrame) -> DataFrame:
+        """Pairs (a, b) of members of one hub, not both linked to it and of different components, that share enough rare
+        differences to be linked."""
         each = different.select("hub", "node", "linked", F.explode("items").alias("item"))
         counted = each.groupBy("hub", "item").agg(F.count("*").alias("frequency"), F.count_if(~F.col("linked")).alias("loose"))
         shared = counted.where("frequency > 1 AND loose > 0").select("hub", "item", "frequency")
@@ -258,17 +262,18 @@ class _Search:
         # items that one member alone has stand first in the order, so they use up the prefix unposted
         own = F.size("items") - F.size("shared")
         kept = F.slice("shared", F.lit(1), F.greatest(F.size("items") - F.col("needs") + 1 - own, F.lit(0)))
-        posted = (
-            different.join(listed, ["hub", "node"])
-            .select("hub", "node", "linked", F.explode(kept).alias("p"))
-            .select("hub", "node", "linked", F.col("p.item").alias("item"))
-        )
-        posted = self.work.table(posted, "differences-posted")
-        loose = posted.where("not linked").select(F.col("hub").alias("h"), F.col("item").alias("i"), F.col("node").alias("x"))
-        # two loose members meet once
-        apart = (F.col("x") < F.col("node")) | (F.col("linked") & (F.col("x") != F.col("node")))
-        met = loose.join(posted, (F.col("h") == F.col("hub")) & (F.col("i") == F.col("item")) & apart)
-        return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+        rooted = roots.select(F.col("node").alias("of"), "root")
+        # no more differences can be shared than have a partner at all
+        member = ["hub", "node", "linked", "weight", "slack", F.size("shared").alias("can_share"), F.coalesce("root", "node").alias("root")]
+        posted = different.join(listed, ["hub", "node"]).join(rooted, F.col("node") == F.col("of"), "left").select(*member, F.explode(kept).alias("p"))
+        posted = self.work.table(posted.withColumn("item", F.col("p.item")).drop("p"), "differences-posted")
+        loose = posted.where("not linked").select(*[F.col(c).alias(f"x_{c}") for c in ("hub", "item", "node", "weight", "can_share", "root")])
+        same = (F.col("x_hub") == F.col("hub")) & (F.col("x_item") == F.col("item")) & (F.col("x_root") != F.col("root"))
+        # two loose members meet once; two that need to share more than either can do not
+        once = F.col("linked") | (F.col("x_node") < F.col("node"))
+        enough = F.col("x_weight") + F.col("weight") - F.col("slack") <= (100 + self.percent) * F.least("x_can_share", "can_share")
+        met = loose.join(posted, same & once & enough)
+        return met.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
 
     def links(self, lists: DataFrame) -> DataFrame:
         """Links that connect whatever the lists (list, node, sketch, central) can connect."""
@@ -291,24 +296,22 @@ class _Search:
             against = against.withColumn("agree", F.when(F.col("node") == F.col("hub"), COORDINATES).otherwise(_agreeing("sketch", "hub_sketch")))
             pairs = against.where((F.col("node") != F.col("hub")) & (F.col("agree") >= COORDINATES - 2 * far)).select("hub", "node").distinct()
             different = work.table(self.differences(pairs), "different")
-            found.append(different.where("linked").select("hub", "node"))
-            waiting.append(work.table(self.near_hubs(different), "near-hubs"))
+            found.append(different)
             # what matches no hub goes on; a pair with one end that does is among those near the hub
             best = against.groupBy("list", "node").agg(F.max("agree").alias("agree"), F.first("sketch").alias("sketch"), F.first("central").alias("central"))
             lists = work.table(best.where(F.col("agree") < self.matches).drop("agree"), "rest")
             hubs_each *= 4
-        pairs = reduce(DataFrame.union, waiting).distinct()
         if not found:
-            return self.linked(pairs)
-        # pairs that are linked to one hub need no comparison
-        stars = work.table(reduce(DataFrame.union, found).distinct(), "stars")
-        near = stars.union(stars.select("hub", F.col("hub").alias("node"))).groupBy("node").agg(F.min("hub").alias("hub"))
-        near = work.table(near, "near")
+            return self.linked(reduce(DataFrame.union, waiting).distinct())
+        # what the hubs have brought into one component needs no comparison
+        stars = [d.where("linked").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")) for d in found]
+        stars = work.table(reduce(DataFrame.union, stars).distinct(), "stars")
+        roots = work.table(components(work, stars), "roots")
+        pairs = reduce(DataFrame.union, [*waiting, *[self.near_hubs(d, roots) for d in found]]).distinct()
         for end in ("a", "b"):
-            pairs = pairs.join(near.select(F.col("node").alias(end), F.col("hub").alias(f"h{end}")), end, "left")
-        pairs = pairs.where("NOT (ha <=> hb) OR ha IS NULL").select("a", "b")
-        links = stars.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-        return links.union(self.linked(pairs))
+            known = roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
+            pairs = pairs.join(known, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
+        return stars.union(self.linked(pairs.where("ra <> rb").select("a", "b")))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, matches: int = MATCHES) -> DataFrame:
