@@ -280,9 +280,11 @@ class _Search:
         work, far = self.work, COORDINATES - self.matches
         found: list[DataFrame] = []
         waiting: list[DataFrame] = []
+        seen: list[DataFrame] = []
         hubs_each = 1
         while True:
             members = work.table(lists.join(distinct_lists(lists), "list"), "members")
+            seen.append(members)
             short = members.where(F.col("members") <= SHORT_LIST)
             ends = [short.select("list", F.col("node").alias(n), F.col("sketch").alias(f"s{n}")) for n in "ab"]
             apart = (F.col("a") < F.col("b")) & (_agreeing("sa", "sb") >= self.matches)
@@ -307,7 +309,8 @@ class _Search:
         stars = [d.where("linked").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")) for d in found]
         stars = work.table(reduce(DataFrame.union, stars).distinct(), "stars")
         roots = work.table(components(work, stars), "roots")
-        pairs = reduce(DataFrame.union, [*waiting, *[self.near_hubs(d, roots) for d in found]]).distinct()
+        pairs = work.table(reduce(DataFrame.union, [*waiting, *[self.near_hubs(d, roots) for d in found]]).distinct(), "pairs")
+        work.drop(*found, *waiting, *seen)
         for end in ("a", "b"):
             known = roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
             pairs = pairs.join(known, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
