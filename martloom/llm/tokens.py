@@ -2,7 +2,8 @@
 
 Both known pre-tokenizers look at no more than a word and the white space before it, so a text may be cut
 where a non-space meets a single white space followed by a non-space, and where a letter meets a full stop
-or comma, without changing its ids. The ids of such units repeat all over a corpus; each worker keeps them
+or comma, without changing its ids. Letters that normalizing turns into a letter and a mark are no such place: the mark
+belongs to the full stop. The ids of such units repeat all over a corpus; each worker keeps them
 in a bounded cache and asks the tokenizer for the rest in one call.
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from array import array
 from functools import lru_cache
 
@@ -85,7 +87,7 @@ class CachedEncoder:
         """Ids of units not known yet: a full stop or comma at the end is looked up on its own."""
         cache, raw = self.cache, self.mode == UNSPACED
         new = {u.decode() for u in units} if raw else units
-        tails = [u for u in new if len(u) > 1 and u[-1] in ".," and u[-2].isalpha()]
+        tails = [u for u in new if len(u) > 1 and u[-1] in ".," and _stays_letter(u[-2])]
         cores = {u[:-1] for u in tails}
         cores.update(new.difference(tails), (".", ",") if tails else ())
         plain, words = [], []
@@ -119,6 +121,12 @@ class CachedEncoder:
         self._keep(words, learned)
 
 
+@lru_cache(maxsize=10_000)
+def _stays_letter(character: str) -> bool:
+    """Whether it is a letter and ends in one when composed and lower-cased, which a capital I with a dot does not."""
+    return character.isalpha() and unicodedata.normalize("NFC", character).lower()[-1].isalpha()
+
+
 def _byte_names() -> dict[int, str]:
     """How byte-level tokenizers write bytes: printable Latin-1 characters stand for themselves, the others for
     characters from 256 on, in order."""

@@ -27,6 +27,14 @@ def test_cached_ids_equal_plain_ids(file, texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(texts)] == plain
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_marks_from_lower_casing_stay_with_the_full_stop(file):
+    texts = ["İ.", "aİ, b", "क़.", "é. É, ß.", "İ ."]
+    e = CachedEncoder(public_path(file))
+    plain = [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(texts)] == plain
+
+
 def ordered_texts():
     return sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0))
 
