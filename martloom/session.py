@@ -18,11 +18,18 @@ ADAPTIVE_SETTINGS = {
     # counts of stored tables come from file footers where a query asks for them that way
     "spark.sql.parquet.aggregatePushdown": "true",
 }
+# For the retail queries. Partitions of this size as compressed bytes take some hundred megabytes in the tables of an
+# aggregate. A join's smaller side is hashed where all its partitions are small; larger ones are sorted.
+PARTITION_SETTINGS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
+}
 # UTC for zoned text; room for the compiled code of many marts, so that a session that builds them in
 # turn does not compile each stage again; no call-site capture, which costs several driver round trips
 # per column.
 SESSION_SETTINGS = {
     **ADAPTIVE_SETTINGS,
+    **PARTITION_SETTINGS,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -36,6 +43,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_partitions(spark: SparkSession) -> SparkSession:
+    """Bound what a task holds in a session made elsewhere, unless that names sizes of its own."""
+    for key, value in PARTITION_SETTINGS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "martloom", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings above; `extra` keys use `__` for `.`."""
     builder = SparkSession.builder.appName(app)
