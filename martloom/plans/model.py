@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 
 from martloom.operators.quality import as_drop_rules, enforce, observe
 from martloom.operators.sampling import sample_by_key
-from martloom.plans import conform
+from martloom.plans import conform, revenue
 from martloom.plans.rules import RULES
 from martloom.plans.stages import STAGES
 from martloom.sources.schemas import RAW_RULES
@@ -106,6 +106,15 @@ class RetailModel:
     def order_months(self) -> DataFrame:
         return conform.order_months(self.raw.raw_orders)
 
+    @cached_property
+    def category_months(self) -> DataFrame:
+        return revenue.category_month_totals(self.order_months, self.category_per_order)
+
+    @cached_property
+    def known_totals(self) -> DataFrame | None:
+        """Totals of all orders where they are stored; nothing to read otherwise."""
+        return None
+
     @cached_property
     def orders_revenue_item_grain(self) -> DataFrame:
         return conform.orders_revenue_item_grain(

@@ -53,6 +53,8 @@ SERVED_BY = {
     "customer_places": "customer_geo",
     "delivery_order_places": "delivery_order",
     "delivery_order_item_places": "delivery_order_item",
+    "known_totals": "order_totals",
+    "category_months": "revenue_by_category_month",
 }
 
 
@@ -96,10 +98,10 @@ def _publish(
     return reports
 
 
-def _serve(model: RetailModel, name: str, stored: DataFrame) -> None:
+def _serve(model: RetailModel, name: str, copy: DataFrame) -> None:
     """From now on the model reads a table, and the narrow forms it serves for, from storage."""
     for served in (name, *[narrow for narrow, table in SERVED_BY.items() if table == name]):
-        setattr(model, served, stored)
+        setattr(model, served, copy)
 
 
 def publish(

@@ -130,8 +130,12 @@ def _figures(daily: DataFrame, categories: DataFrame) -> DataFrame:
 def revenue_exec_summary(
     orders: DataFrame, months: DataFrame, category_orders: DataFrame, as_of: str | None = None
 ) -> DataFrame:
-    """One row of headline figures, also on empty input. `as_of` replaces the current time."""
-    categories = category_month_totals(months, category_orders)
+    return summary_of_categories(orders, category_month_totals(months, category_orders), as_of)
+
+
+def summary_of_categories(orders: DataFrame, categories: DataFrame, as_of: str | None = None) -> DataFrame:
+    """One row of headline figures, also on empty input. `categories` are `category_month_totals` or the mart made of
+    them. `as_of` replaces the current time."""
     return _figures(_daily(orders), categories).select(
         "total_orders",
         "total_revenue",

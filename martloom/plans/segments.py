@@ -50,13 +50,16 @@ def last_12m_orders(raw_orders: DataFrame, raw_items: DataFrame, raw_customers:
     return recent_orders(delivered_orders(raw_orders), raw_items, raw_customers)
 
 
-def recent_orders(delivered: DataFrame, raw_items: DataFrame, raw_customers: DataFrame) -> DataFrame:
+def recent_orders(
+    delivered: DataFrame, raw_items: DataFrame, raw_customers: DataFrame, known_totals: DataFrame | None = None
+) -> DataFrame:
     """Delivered orders of the twelve months before the newest delivered one, with order total and
-    customer. The total is NULL for an order without items."""
+    customer. The total is NULL for an order without items. Stored totals of all orders save the sum over the items."""
     recent = trailing_months(delivered, "order_purchase_timestamp", 12)
-    # only items of these orders are summed and moved, not those of all years
-    items = raw_items.join(recent.select("order_id"), on="order_id", how="left_semi")
-    with_totals = enrich(recent, order_totals(items), ["order_id"], ["total_price"])
+    totals = known_totals
+    if totals is None:  # only items of these orders are summed and moved, not those of all years
+        totals = order_totals(raw_items.join(recent.select("order_id"), on="order_id", how="left_semi"))
+    with_totals = enrich(recent, totals, ["order_id"], ["total_price"])
     return enrich(with_totals, raw_customers, ["customer_id"], ["customer_unique_id"])
 
 

@@ -32,7 +32,7 @@ class Stage:
 
 
 def _recent(m: RetailModel, delivered: DataFrame) -> DataFrame:
-    return segments.recent_orders(delivered, m.raw.raw_order_items, m.raw.raw_customers)
+    return segments.recent_orders(delivered, m.raw.raw_order_items, m.raw.raw_customers, m.known_totals)
 
 
 STAGES: dict[str, Stage] = {
@@ -84,7 +84,7 @@ STAGES: dict[str, Stage] = {
     "revenue_by_state_month": Stage(lambda m: revenue.revenue_by_state_month(m.orders_revenue)),
     "revenue_by_payment_type_month": Stage(lambda m: revenue.revenue_by_payment_type_month(m.order_fact)),
     "revenue_exec_summary": Stage(
-        lambda m: revenue.revenue_exec_summary(m.orders_revenue, m.order_months, m.category_per_order, m.as_of)
+        lambda m: revenue.summary_of_categories(m.orders_revenue, m.category_months, m.as_of)
     ),
     "delivery_state_month": Stage(lambda m: delivery.delivery_state_month(m.delivery_order_places)),
     "delivery_seller_state_month": Stage(
