@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from martloom.functions import published
 from martloom.plans import audits
 from martloom.plans.model import RetailModel
-from martloom.sources.ingest import complete, save_table, write_table
+from martloom.sources.ingest import complete, save_table, stored, write_table
 from martloom.sources.store import Audit, open_folder, swap_folders
 
 CONFORMED = (
@@ -104,6 +104,15 @@ def _serve(model: RetailModel, name: str, copy: DataFrame) -> None:
         setattr(model, served, copy)
 
 
+def sharing(model: RetailModel, tables: dict[str, tuple[str, ...]]) -> RetailModel:
+    """A model that reads these tables from scratch copies, each written once, for queries that read many marts at
+    once. A copy holds the columns named for it, or all."""
+    shared = RetailModel(model.landed, model.as_of)
+    for name, columns in tables.items():
+        _serve(shared, name, stored(getattr(shared, name).select(*columns or "*"), name))
+    return shared
+
+
 def publish(
     model: RetailModel,
     target: str,

@@ -3,7 +3,7 @@
 import pytest
 
 from martloom.plans.model import RetailModel
-from martloom.plans.publish import publish
+from martloom.plans.publish import publish, sharing
 from martloom.session import scratch_dir
 from martloom.sources.star import STAR_SCHEMAS, raw_tables
 from tests.plans import plan_text
@@ -78,3 +78,13 @@ def test_the_summary_reads_the_stored_category_mart(spark, folder):
     publish(stored, scratch_dir(spark, "published"), ("revenue_by_category_month",))
     assert "l_partkey" in plan_text(plain.revenue_exec_summary) and "l_partkey" not in plan_text(stored.revenue_exec_summary)
     assert rows_of(stored.revenue_exec_summary) == rows_of(plain.revenue_exec_summary)
+
+
+def test_marts_read_shared_facts(spark, folder):
+    from martloom.plans.catalog import _SHARED_FACTS
+
+    plain = RetailModel(raw_tables(spark, folder))
+    shared = sharing(plain, _SHARED_FACTS)
+    for name in ("revenue_monthly", "revenue_by_state_month", "revenue_by_payment_type_month", "customer_segmentation"):
+        assert "l_extendedprice" not in plan_text(getattr(shared, name))
+        assert rows_of(getattr(shared, name)) == rows_of(getattr(plain, name)) != []
