@@ -18,11 +18,15 @@ similarity is at least `percent`; links are confirmed on the full sets. The way
    and in a others share M - dx - dy + s items, with s common differences. Two sets not both linked to
    the hub can only be linked if they have common differences, and each must have a computable share of its own
    among them. So members are posted under a prefix of their differences, rarest first, and only those meet
-   that share a rare one and are not known to be of one component. A group of like texts where half are
+   that share a rare one, have enough differences left from there on and are not known to be of one component.
+   A family that is far from its hub shares most differences, so it meets one of its own first: in each list of a
+   difference all compare themselves with the member closest to the hub. Those links are confirmed and joined
+   to components, and only then the rest meets. A group of like texts where half are
    linked with each other and half with nothing costs its differences, not its pairs.
 5. Every posting carries a sketch, four bits of each coordinate. Sketches agree wherever signatures do, and the number of
    coordinates where they differ is a metric: what matches a member that matches the hub differs from the hub in
-   at most twice `COORDINATES - MATCHES`, so members beyond that need no differences. Pairs that stay
+   at most `COORDINATES - MATCHES` more than the member, so others need no differences; a hub that
+   nothing matches needs none. Of several hubs a member needs its best. Pairs that stay
    are confirmed on the sets, and links give components.
 
 A pair at exactly 80 % has MATCHES or more equal coordinates with probability over 0.9999.
@@ -53,6 +57,7 @@ SIGNED_ROW = "doc_id bigint, text_hash bigint, n_shingles bigint, class_high big
 DIFFERENT_ROW = "hub bigint, node bigint, linked boolean, needs int, weight bigint, slack bigint, items array<bigint>"
 SKETCH = ["s0", "s1", "s2", "s3"]  # 16 coordinates each
 LOW_BITS = 0x1111111111111111
+HASH_BITS = 1 << 24  # bits of the bitmap that tells which texts can be wanted: 2 MB in words of 64
 
 # Fixed by a rule: odd multipliers and offsets of the coordinates' hash functions.
 _DRAW = np.random.default_rng(7)
@@ -120,6 +125,16 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _wanted(texts: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The rows of `texts` whose `text_hash` may be among `hashes` (of_hash), by a bitmap of bounded size, so few others move."""
+    bit = F.pmod(F.col("of_hash"), F.lit(HASH_BITS))
+    words = hashes.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, int(pmod(of_hash, {HASH_BITS}) & 63))").alias("bit"))
+    words = words.groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    place = F.pmod(F.col("text_hash"), F.lit(HASH_BITS))
+    met = texts.withColumn("word", F.shiftright(place, 6)).join(F.broadcast(words), "word")
+    return met.where(F.getbit("bits", place.bitwiseAND(F.lit(63)).cast("int")) == 1).drop("word", "bits")
+
+
 def prefixes(classes: DataFrame, percent: int, matches: int = MATCHES) -> DataFrame:
     """Postings (list, node, sketch, central) of each class's prefix: its rarest pairs that other classes have too.
 
@@ -200,8 +215,11 @@ class _Search:
         self.width, self.percent, self.matches = width, percent, matches
 
     def _with_texts(self, pairs: DataFrame) -> DataFrame:
-        left = self.texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-        right = self.texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+        pairs = self.work.table(pairs, "compared")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        texts = self.texts.join(ends, "node", "left_semi").dropDuplicates(["node"])
+        left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+        right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
         return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
@@ -252,29 +270,55 @@ class _Search:
         ends = pairs.select(F.col("hub").alias("a"), F.col("node").alias("b"))
         return self._with_texts(ends).mapInArrow(compare, DIFFERENT_ROW)
 
-    def near_hubs(self, different: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs (a, b) of members of one hub, not both linked to it and of different components, that share enough rare
-        differences to be linked."""
-        each = different.select("hub", "node", "linked", F.explode("items").alias("item"))
-        counted = each.groupBy("hub", "item").agg(F.count("*").alias("frequency"), F.count_if(~F.col("linked")).alias("loose"))
-        shared = counted.where("frequency > 1 AND loose > 0").select("hub", "item", "frequency")
-        listed = each.join(shared, ["hub", "item"]).groupBy("hub", "node").agg(F.sort_array(F.collect_list(F.struct("frequency", "item"))).alias("shared"))
-        # items that one member alone has stand first in the order, so they use up the prefix unposted
-        own = F.size("items") - F.size("shared")
-        kept = F.slice("shared", F.lit(1), F.greatest(F.size("items") - F.col("needs") + 1 - own, F.lit(0)))
+    def posted(self, different: DataFrame, roots: DataFrame) -> DataFrame:
+        """Members of hubs under the rare ones of those differences that may link them to another component; `left` is how many
+        such differences a member has from there on."""
         rooted = roots.select(F.col("node").alias("of"), "root")
-        # no more differences can be shared than have a partner at all
-        member = ["hub", "node", "linked", "weight", "slack", F.size("shared").alias("can_share"), F.coalesce("root", "node").alias("root")]
-        posted = different.join(listed, ["hub", "node"]).join(rooted, F.col("node") == F.col("of"), "left").select(*member, F.explode(kept).alias("p"))
-        posted = self.work.table(posted.withColumn("item", F.col("p.item")).drop("p"), "differences-posted")
-        loose = posted.where("not linked").select(*[F.col(c).alias(f"x_{c}") for c in ("hub", "item", "node", "weight", "can_share", "root")])
+        different = different.join(rooted, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node")).drop("of")
+        several = different.groupBy("hub").agg(F.count_if(~F.col("linked")).alias("loose"), F.min("root").alias("low"), F.max("root").alias("high"))
+        different = different.join(several.where("loose > 0 AND low < high").select("hub"), "hub")
+        each = different.select("hub", "node", "linked", "root", F.explode("items").alias("item"))
+        counted = each.groupBy("hub", "item").agg(
+            F.count("*").alias("frequency"), F.count_if(~F.col("linked")).alias("loose"), F.min("root").alias("low"), F.max("root").alias("high")
+        )
+        shared = counted.where("loose > 0 AND low < high").select("hub", "item", "frequency", (F.col("frequency") > F.col("loose")).alias("any_linked"))
+        listed = each.join(shared, ["hub", "item"]).groupBy("hub", "node").agg(F.sort_array(F.collect_list(F.struct("frequency", "item", "any_linked"))).alias("shared"))
+        # items that no other component has cannot be shared, so they stand first in the order and use up the prefix unposted
+        ranked = F.transform("shared", lambda p, k: F.struct(p["item"].alias("item"), p["any_linked"].alias("any_linked"), (F.size("shared") - k).alias("left")))
+        # two loose members differ by more than the slack each, so they need to share more than a loose and a linked one
+        apart = F.floor(F.col("weight") / F.lit(100 + self.percent)) + 1
+        kept = F.filter(ranked, lambda p: (p["left"] >= F.col("needs")) & (F.col("linked") | p["any_linked"] | (p["left"] >= apart)))
+        member = ["hub", "node", "linked", "weight", "slack", "root"]
+        return different.join(listed, ["hub", "node"]).select(*member, F.explode(kept).alias("p")).select(*member, "p.item", "p.left")
+
+    def _meeting(self, others: DataFrame, posted: DataFrame) -> DataFrame:
+        """Pairs (a, b) of a loose member of `others` and a posted one that meet in a list and can be linked."""
+        loose = others.select(*[F.col(c).alias(f"x_{c}") for c in ("hub", "item", "node", "weight", "left", "root")])
         same = (F.col("x_hub") == F.col("hub")) & (F.col("x_item") == F.col("item")) & (F.col("x_root") != F.col("root"))
-        # two loose members meet once; two that need to share more than either can do not
-        once = F.col("linked") | (F.col("x_node") < F.col("node"))
-        enough = F.col("x_weight") + F.col("weight") - F.col("slack") <= (100 + self.percent) * F.least("x_can_share", "can_share")
-        met = loose.join(posted, same & once & enough)
+        # the first difference that two members share is followed by all others that they share
+        enough = F.col("x_weight") + F.col("weight") - F.col("slack") <= (100 + self.percent) * F.least("x_left", "left")
+        met = loose.join(posted, same & enough)
         return met.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
 
+    def near_leaders(self, posted: DataFrame) -> DataFrame:
+        """Pairs (a, b) that can be linked of the loose member closest to the hub and others, in each list."""
+        lead = F.min(F.struct("weight", "node", "left", "root")).alias("lead")
+        return self._meeting(posted.where("not linked").groupBy("hub", "item").agg(lead).select("hub", "item", "lead.*"), posted)
+
+    def near_hubs(self, posted: DataFrame, roots: DataFrame) -> DataFrame:
+        """Pairs (a, b) of members of one hub, not both linked to it and of different components, that share enough rare
+        differences to be linked."""
+        rooted = roots.select(F.col("node").alias("of"), F.col("root").alias("now"))
+        posted = posted.join(rooted, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("now", "node")).drop("of", "now")
+        return self._meeting(posted.where("not linked"), posted)
+
+    def _apart(self, pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are not known to be of one component."""
+        for end in ("a", "b"):
+            known = roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
+            pairs = pairs.join(known, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
+        return pairs.where("ra <> rb").select("a", "b")
+
     def links(self, lists: DataFrame) -> DataFrame:
         """Links that connect whatever the lists (list, node, sketch, central) can connect."""
         work, far = self.work, COORDINATES - self.matches
@@ -296,25 +340,33 @@ class _Search:
             hubs = _hubs(long, hubs_each).select("list", F.col("node").alias("hub"), F.col("sketch").alias("hub_sketch"))
             against = long.select("list", "node", "sketch", "central").join(hubs, "list")
             against = against.withColumn("agree", F.when(F.col("node") == F.col("hub"), COORDINATES).otherwise(_agreeing("sketch", "hub_sketch")))
-            pairs = against.where((F.col("node") != F.col("hub")) & (F.col("agree") >= COORDINATES - 2 * far)).select("hub", "node").distinct()
-            different = work.table(self.differences(pairs), "different")
-            found.append(different)
+            top = F.max(F.struct("agree", "hub")).alias("top")
+            best = against.groupBy("list", "node").agg(top, F.first("sketch").alias("sketch"), F.first("central").alias("central"))
+            # whoever matches a hub meets the others at its best one: they differ from it in `far` more at most
+            reach = best.where(F.col("top.agree") >= self.matches).groupBy("list", F.col("top.hub").alias("hub")).agg((F.min("top.agree") - far).alias("floor"))
+            near = against.join(reach, ["list", "hub"]).where((F.col("node") != F.col("hub")) & (F.col("agree") >= F.col("floor")))
+            pairs = near.select("hub", "node").distinct()
+            for earlier in found:  # a hub of several rounds
+                pairs = pairs.join(earlier.select("hub", "node"), ["hub", "node"], "left_anti")
+            found.append(work.table(self.differences(pairs), "different"))
             # what matches no hub goes on; a pair with one end that does is among those near the hub
-            best = against.groupBy("list", "node").agg(F.max("agree").alias("agree"), F.first("sketch").alias("sketch"), F.first("central").alias("central"))
-            lists = work.table(best.where(F.col("agree") < self.matches).drop("agree"), "rest")
+            lists = work.table(best.where(F.col("top.agree") < self.matches).drop("top"), "rest")
             hubs_each *= 4
         if not found:
             return self.linked(reduce(DataFrame.union, waiting).distinct())
         # what the hubs have brought into one component needs no comparison
-        stars = [d.where("linked").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")) for d in found]
-        stars = work.table(reduce(DataFrame.union, stars).distinct(), "stars")
+        different = reduce(DataFrame.union, found)
+        stars = work.table(different.where("linked").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")), "stars")
         roots = work.table(components(work, stars), "roots")
-        pairs = work.table(reduce(DataFrame.union, [*waiting, *[self.near_hubs(d, roots) for d in found]]).distinct(), "pairs")
-        work.drop(*found, *waiting, *seen)
-        for end in ("a", "b"):
-            known = roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}"))
-            pairs = pairs.join(known, end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}", end))
-        return stars.union(self.linked(pairs.where("ra <> rb").select("a", "b")))
+        posted = work.table(self.posted(different, roots), "differences-posted")
+        work.drop(*found, *seen)
+        pairs = work.table(reduce(DataFrame.union, [*waiting, self.near_leaders(posted)]).distinct(), "pairs")
+        work.drop(*waiting)
+        known = work.table(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(self.linked(self._apart(pairs, roots))), "known")
+        roots = work.table(components(work, known), "roots")
+        rest = work.table(self.near_hubs(posted, roots), "pairs")
+        work.drop(posted)
+        return known.union(self.linked(rest))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, matches: int = MATCHES) -> DataFrame:
@@ -340,8 +392,9 @@ def _components_of(docs: DataFrame, width: int, percent: int, matches: int) -> D
     posted = prefixes(classes, percent, matches)
     lists = work.table(posted.join(distinct_lists(posted).select("list"), "list"), "postings")
     active = lists.select("node").distinct().join(classes, "node").select("node", F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"))
-    texts = _texts(docs).join(active, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")))
-    texts = work.table(texts.select("node", "text"), "texts").dropDuplicates(["node"])
+    active = work.table(active, "active")
+    texts = _wanted(_texts(docs), active).join(active, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")))
+    texts = work.table(texts.select("node", "text"), "texts")
     search = _Search(work, classes.select("node"), texts, width, percent, matches)
     links = work.table(search.links(lists), "links")
     rooted = classes.select(*name, "node", "doc_id", "text_hash").join(components(work, links), "node", "left").withColumn("root", F.coalesce("root", "node"))
