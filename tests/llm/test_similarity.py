@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martloom.llm import cap_filters, fingerprints, near_duplicates
+from martloom.llm.support import Workspace
 from tests.llm.conftest import TEXTS
 
 LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -153,6 +154,25 @@ def test_group_of_which_half_is_linked_with_nothing(spark, monkeypatch, short):
         assert found(docs, width) == exact_components(texts, width)
 
 
+def test_few_pairs_of_a_family_far_from_its_hub_are_confirmed(spark):
+    """Members of one hub that share nearly as many differences as a link needs: none of their pairs is compared."""
+    shared, size = 90, 40
+    rows = [(1, k, False, 27, 12780, 7960, list(range(shared)) + [1000 * (k + 1) + j for j in range(52)]) for k in range(size)]
+    different = spark.createDataFrame(rows, near_duplicates.DIFFERENT_ROW)
+    roots = spark.createDataFrame([], "node bigint, root bigint")
+    search = near_duplicates._Search(Workspace(spark, "test"), None, None, 2, 80, near_duplicates.MATCHES)
+    posted = search.posted(different, roots)
+    # a pair needs (2 * 12780 - 7960) / 180, so 98 common differences
+    assert search.near_leaders(posted).count() == 0 and search.near_hubs(posted, roots).count() == 0
+    more = spark.createDataFrame([(*r[:6], list(range(98)) + [1000 * (r[1] + 1) + j for j in range(44)]) for r in rows], near_duplicates.DIFFERENT_ROW)
+    posted = search.posted(more, roots)
+    assert search.near_leaders(posted).count() == size - 1
+    assert search.near_hubs(posted, spark.createDataFrame([(k, 0) for k in range(size)], "node bigint, root bigint")).count() == 0
+    # each pair meets in the first list only, not in all that the members share
+    lists = posted.groupBy("node").count().agg(F.max("count")).first()[0]
+    assert lists <= 98 - 12780 // 180
+
+
 def test_one_of_each_keeps_rows(edge_docs, empty_docs):
     kept = near_duplicates.one_of_each(edge_docs)
     assert kept.columns == edge_docs.columns
